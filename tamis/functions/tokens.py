@@ -20,14 +20,18 @@ def tokenize(text: Column) -> Column:
     failure. ``rtrim`` takes the trailing run in linear time, which the regex
     ``\\s+$`` does not.
     """
-    lowered = F.lower(text)
-    body = F.rtrim(lowered, F.lit(WHITESPACE))
-    return (
-        F.when(text.isNull(), F.lit(None).cast("array<string>"))
-        .when(F.length(text) == 0, F.array(F.lit("")))
-        .when(F.length(body) == 0, F.array().cast("array<string>"))
-        .otherwise(F.split(body, r"\s"))
-    )
+    blank = (F.length(text) > 0) & (F.rtrim(text, F.lit(WHITESPACE)) == "")
+    words = F.split(F.rtrim(F.lower(text), F.lit(WHITESPACE)), r"\s")
+    return F.when(blank, F.array().cast("array<string>")).otherwise(words)
+
+
+def exploded(values: Column) -> Column:
+    """One row per array element, and one NULL row for an empty array.
+
+    For arrays that are computed, not stored: for a plain ``explode`` the
+    optimizer infers a filter on the array's size and computes the array twice.
+    """
+    return F.explode_outer(values)
 
 
 def ngrams(tokens: Column, n: int = 2, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:

@@ -25,13 +25,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamis.functions.tokens import exploded
 from tamis.sources.staging import stage_table
 
 # Fixed value: largest Jaccard distance of near-duplicates.
 MAX_DISTANCE = 0.1
 
-# A bucket of so few sets is compared pair by pair (at most 28 pairs).
-SMALL_BUCKET = 8
+# A bucket of so few sets is compared pair by pair (at most 496 pairs).
+SMALL_BUCKET = 32
 
 # Tokens counted as frequent: at most this many, each in at least so many sets.
 FREQUENT_TOKENS = 10_000
@@ -54,17 +55,15 @@ def token_sets(docs: DataFrame) -> TokenSets:
     ``rep`` is the smallest id of a set. Documents without tokens are similar
     to nothing and stay out. Tokens are 64-bit hashes from here on.
     """
-    distinct = docs.filter(F.size("tokens") > 0).select(
-        "id", F.array_sort(F.array_distinct("tokens")).alias("words")
-    )
+    words = docs.select("id", F.sort_array(F.array_distinct("tokens")).alias("words"))
     documents = stage_table(
-        distinct.select(
+        words.select(
             "id",
             F.md5(F.array_join("words", " ")).alias("set_key"),
             F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
         ),
         "set-documents",
-    )
+    ).filter(F.size("hashes") > 0)
     sets = documents.groupBy("set_key").agg(
         F.min("id").alias("rep"), F.first("hashes").alias("hashes")
     )
@@ -124,7 +123,7 @@ def segment_keys(sets: DataFrame, frequent: list[int], max_distance: float) -> D
         classed.withColumn("keep_all", F.col("k") - F.size(solid) > F.col("spare"))
         .select(
             "rep", "n", "j", "keep_all",
-            F.explode(
+            exploded(
                 F.when(F.col("keep_all"), F.concat("cells", blanks)).otherwise(F.col("cells"))
             ).alias("cell"),
         )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.functions.tokens import STOP_WORDS, ngrams
+from tamis.functions.tokens import STOP_WORDS, exploded, ngrams
 from tamis.operators.finalize import doc_lengths
 
 # Rows of the token and n-gram reports, bins of the histogram.
@@ -36,18 +36,18 @@ def length_metrics(final: DataFrame) -> DataFrame:
 
 def top_values(values: DataFrame, name: str, k: int) -> DataFrame:
     """The ``k`` most frequent values; equal counts are ordered by the value."""
-    counts = values.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    counts = values.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(name)).limit(k)
 
 
 def top_tokens(final: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
-    return top_values(final.select(F.explode("tokens").alias("token")), "token", k)
+    return top_values(final.select(exploded(F.col("tokens")).alias("token")), "token", k)
 
 
 def top_ngrams(
     final: DataFrame, n: int = 2, k: int = TOP_NGRAMS, stop_words: tuple[str, ...] = STOP_WORDS
 ) -> DataFrame:
-    grams = final.select(F.explode(ngrams(F.col("tokens"), n, stop_words)).alias("ngram"))
+    grams = final.select(exploded(ngrams(F.col("tokens"), n, stop_words)).alias("ngram"))
     return top_values(grams, "ngram", k)
 
 

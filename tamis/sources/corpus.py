@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_COLUMNS = ("id", "title", "content", "contents", "PMID")
@@ -28,7 +27,17 @@ def read_corpus(
 ) -> DataFrame:
     """Read one parquet directory or several as one scan."""
     paths = [path] if isinstance(path, str) else list(path)
-    return require_columns(spark.read.parquet(*paths), columns)
+    return spread(require_columns(spark.read.parquet(*paths), columns), columns[0])
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input that is read by fewer tasks than there are cores.
+
+    That is an input of a few small files or large row groups; anything bigger is
+    returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def write_stage(df: DataFrame, path: str) -> None:
@@ -61,7 +70,3 @@ def load_sample(
 def write_report(report: DataFrame, path: str) -> None:
     """Write a one-row report as a JSON file."""
     report.coalesce(1).write.mode("overwrite").json(path)
-
-
-def count_column(name: str = "n"):
-    return F.count(F.lit(1)).alias(name)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.sources.corpus import spread
+
 
 def documents_as_raw(documents: DataFrame) -> DataFrame:
     """``documents`` as raw records, with noise for the cleaning steps.
@@ -33,8 +35,9 @@ def documents_as_raw(documents: DataFrame) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents_as_raw(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return documents_as_raw(spread(documents.select("doc_id", "text"), "doc_id"))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/conversations.parquet"), "conv_id", "turn")
