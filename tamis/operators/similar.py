@@ -8,11 +8,11 @@ aggregates only.
 2. Token hashes are dealt out to ``k`` segments, with ``k`` larger than the
    number of tokens by which two similar sets can differ. Similar sets then
    agree on whole segments; a segment's content is a bucket key.
-3. In each bucket every set is compared with one pivot, the smallest id. Sets
-   that are similar to the pivot need no comparison among themselves: the
-   pivot connects them. The Jaccard distance is a metric, so a set at distance
-   ``d`` from the pivot can only be similar to sets at ``d`` +- 0.1. Sets that
-   are not similar to the pivot form the next round's bucket.
+3. In each bucket every set is compared with a few pivots, the smallest ids,
+   first one, then more per round. Sets similar to the same pivot need no
+   comparison among themselves: the pivot connects them. The Jaccard distance
+   is a metric, so sets within 0.1 of a pivot can only be similar to sets
+   within 0.2 of it. Sets that are similar to no pivot go to the next round.
 
 A group of copies therefore costs one comparison per member and round, not one
 per pair, however large it is, and no partner is ever left out.
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions.tokens import exploded
@@ -38,6 +38,10 @@ SMALL_BUCKET = 32
 FREQUENT_TOKENS = 10_000
 FREQUENT_MIN_SETS = 1_000
 
+# Pivots per bucket in the first and later rounds; the last number repeats. The
+# planner keeps "the first q per group" map-side up to a thousand.
+PIVOTS = (1, 4, 16, 64, 256, 1000)
+
 EPSILON = 1e-9
 
 
@@ -86,56 +90,92 @@ def segment_keys(sets: DataFrame, frequent: list[int], max_distance: float) -> D
     Sizes fall into classes so narrow that similar sets are in the same class
     or in neighbouring ones; a set takes part in its own class and in the next,
     so a pair always meets in one of them. There ``differ`` bounds the tokens
-    that only one of two similar sets holds, and of ``differ + 1 + spare``
+    that only one of two similar sets holds, so of ``differ + 1 + spare``
     segments at least ``spare + 1`` agree.
 
-    A segment without a rare token (``hollow``) is shared by everything that
-    is built on the same boilerplate. A set with at most ``spare`` hollow
-    segments still agrees with each similar set on a segment that is not, so
-    its hollow ones are left out; other sets keep all, empty segments too.
+    A segment without a rare token (``hollow``) is shared by everything that is
+    built on the same boilerplate and makes a poor key. A set with at most
+    ``spare`` hollow segments agrees with each similar set on one that is not
+    hollow, and can leave its hollow ones out. That gives three kinds of sets:
+
+    * easy: few hollow segments at the coarse division,
+    * hard: too many there, but few at a division four times finer,
+    * dense: too many at both, hardly any rare tokens.
+
+    All sets give their solid coarse segments (they find the partners of easy
+    sets), hard and dense ones also their solid fine segments (partners of
+    hard sets), and dense ones their hollow coarse segments too, empty ones
+    included (dense partners of dense sets).
     """
     similarity = 1.0 - max_distance
     step = (1.0 + EPSILON) / similarity
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(step))).cast("int")
     # two sets in classes j - 1 and j hold at most 2 * step^(j + 1) tokens together
     bound = 2.0 * F.pow(F.lit(step), F.col("j") + 1) * (max_distance / (2.0 - max_distance))
-    differ = F.floor(bound + EPSILON).cast("int")
-    spare = F.greatest(F.lit(1), F.ceil((F.col("differ") + 1) / 4).cast("int"))
+    needed = F.col("differ") + 1
 
-    def cell(h: Column) -> Column:
-        rare = ~h.isin(frequent) if frequent else F.lit(True)
-        return F.struct(F.pmod(h, F.col("k")).cast("int").alias("seg"), h.alias("h"), rare.alias("rare"))
+    def is_rare(h: Column) -> Column:
+        return ~h.isin(frequent) if frequent else F.lit(True)
+
+    def segment(h: Column, k: Column) -> Column:
+        return F.pmod(h, k).cast("int")
 
+    def hollow(k: Column) -> Column:
+        solid = F.array_distinct(F.transform("rare", lambda h: segment(h, k)))
+        return k - F.size(solid)
+
+    def division(fine: bool, k: Column, keep_all: Column) -> Column:
+        return F.struct(F.lit(fine).alias("fine"), k.alias("k"), keep_all.alias("keep_all"))
+
+    coarse, fine = F.col("k_coarse"), F.col("k_fine")
+    easy = hollow(coarse) <= coarse - needed
+    dense = hollow(fine) > fine - needed
+    solid_only = F.lit(False)
     classed = (
-        sets.select("rep", "n", "hashes", F.explode(F.array(size_class, size_class + 1)).alias("j"))
-        .withColumn("differ", differ)
-        .withColumn("spare", spare)
-        .withColumn("k", F.col("differ") + 1 + F.col("spare"))
+        sets.withColumn("rare", F.filter("hashes", is_rare))
+        .withColumn("j", F.explode(F.array(size_class, size_class + 1)))
+        .withColumn("differ", F.floor(bound + EPSILON).cast("int"))
         .filter("differ > 0")  # else only equal sets are similar, and those are one set
-        .select("rep", "n", "j", "k", "spare", F.transform("hashes", cell).alias("cells"))
-    )
-    solid = F.array_distinct(F.filter("cells", lambda c: c["rare"])["seg"])
-    empty = F.array_except(F.sequence(F.lit(0), F.col("k") - 1), F.col("cells")["seg"])
-    blanks = F.transform(
-        empty, lambda s: F.struct(s.alias("seg"), F.lit(0).cast("bigint").alias("h"), F.lit(False).alias("rare"))
+        .withColumns({
+            "k_coarse": needed + F.greatest(F.lit(1), F.ceil(needed / 4).cast("int")),
+            "k_fine": needed * 4,
+        })
+        .withColumns({"easy": easy, "dense": dense})
+        .withColumn(
+            "division",
+            F.explode(
+                F.when(F.col("easy"), F.array(division(False, coarse, solid_only))).otherwise(
+                    F.array(
+                        division(False, coarse, F.col("dense")), division(True, fine, solid_only)
+                    )
+                )
+            ),
+        )
+        .select("rep", "n", "j", "hashes", "division.*")
     )
-    cells = (
-        classed.withColumn("keep_all", F.col("k") - F.size(solid) > F.col("spare"))
-        .select(
-            "rep", "n", "j", "keep_all",
-            exploded(
-                F.when(F.col("keep_all"), F.concat("cells", blanks)).otherwise(F.col("cells"))
-            ).alias("cell"),
+
+    def cell(h: Column) -> Column:
+        return F.struct(
+            segment(h, F.col("k")).alias("seg"), h.alias("h"), is_rare(h).alias("rare")
         )
-        .select("rep", "n", "j", "keep_all", "cell.*")
-    )
-    segments = cells.groupBy("rep", "n", "j", "seg").agg(
-        F.bit_xor("h").alias("content"),
-        F.max("rare").alias("solid"),
-        F.first("keep_all").alias("keep_all"),
+
+    def blank(seg: Column) -> Column:
+        return F.struct(
+            seg.alias("seg"), F.lit(0).cast("bigint").alias("h"), F.lit(False).alias("rare")
+        )
+
+    taken = F.transform("hashes", lambda h: segment(h, F.col("k")))
+    empty = F.array_except(F.sequence(F.lit(0), F.col("k") - 1), taken)
+    cells = F.transform("hashes", cell)
+    cells = F.when(F.col("keep_all"), F.concat(cells, F.transform(empty, blank))).otherwise(cells)
+    segments = (
+        classed.select("rep", "n", "j", "fine", "keep_all", exploded(cells).alias("cell"))
+        .select("rep", "n", "j", "fine", "keep_all", "cell.*")
+        .groupBy("rep", "n", "j", "fine", "keep_all", "seg")
+        .agg(F.bit_xor("h").alias("content"), F.max("rare").alias("solid"))
     )
     return segments.filter("solid OR keep_all").select(
-        F.xxhash64("j", "seg", "content").alias("bucket"), "rep", "n"
+        F.xxhash64("j", "fine", "seg", "content").alias("bucket"), "rep", "n"
     )
 
 
@@ -158,19 +198,24 @@ def sizes_fit(a: Column, b: Column, max_distance: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * (1.0 - max_distance) - EPSILON
 
 
-def with_pivot(members: DataFrame) -> DataFrame:
-    """Append the smallest member of each bucket; buckets of one set are dropped."""
-    heads = members.groupBy("bucket").agg(
-        F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("size")
-    )
-    return members.join(heads.filter("size > 1"), "bucket")
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """Append the ``size`` of each bucket; buckets of one set are dropped."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return members.join(sizes, "bucket")
 
 
-def bucket_pairs(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
-    """Distinct set pairs ``a < b`` from two sides that share a bucket."""
-    joined = left.alias("x").join(
-        right.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & condition
-    )
+def smallest(members: DataFrame, count: int) -> DataFrame:
+    """The first ``count`` sets of each bucket."""
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("rep"))
+    ranked = members.withColumn("rank", rank).filter(F.col("rank") <= count)
+    return ranked.select("bucket", "rep")
+
+
+def meeting_pairs(left: DataFrame, right: DataFrame, keys: list[str], condition: Column) -> DataFrame:
+    """Distinct set pairs ``a < b`` from two sides that share the keys."""
+    for key in keys:
+        condition = (F.col(f"x.{key}") == F.col(f"y.{key}")) & condition
+    joined = left.alias("x").join(right.alias("y"), condition)
     return joined.select(
         F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
     ).distinct()
@@ -189,32 +234,39 @@ def similar_sets(
     """
     fit = sizes_fit(F.col("x.n"), F.col("y.n"), max_distance)
     near = max_distance + EPSILON
+    hit = F.col("distance") <= max_distance
     members = segment_keys(sets, frequent_hashes(sets, min_frequent), max_distance)
-    active = stage_table(with_pivot(members), "buckets-0")
+    active = stage_table(shared_buckets(members), "buckets-0")
     found, turn = [], 0
     while True:
         few = active.filter(F.col("size") <= small_bucket)
-        pairs = bucket_pairs(few, few, (F.col("x.rep") < F.col("y.rep")) & fit)
+        pairs = meeting_pairs(few, few, ["bucket"], (F.col("x.rep") < F.col("y.rep")) & fit)
         found.append(with_distance(pairs, sets))
-        many = active.filter(F.col("size") > small_bucket)
+        many = active.filter(F.col("size") > small_bucket).drop("size")
         if many.isEmpty():
             break
 
-        spokes = many.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
-        measured = stage_table(with_distance(spokes.distinct(), sets), f"spokes-{turn}")
+        pivots = smallest(many, PIVOTS[min(turn, len(PIVOTS) - 1)])
+        pivots = stage_table(pivots, f"pivots-{turn}")
+        spokes = many.join(pivots.withColumnRenamed("rep", "pivot"), "bucket").filter("pivot < rep")
+        pairs = spokes.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+        measured = stage_table(with_distance(pairs, sets), f"spokes-{turn}")
         found.append(measured)
-        placed = many.filter("rep <> pivot").join(
-            measured.withColumnsRenamed({"a": "pivot", "b": "rep"}), ["pivot", "rep"]
+        placed = spokes.join(measured.withColumnsRenamed({"a": "pivot", "b": "rep"}), ["pivot", "rep"])
+        placed = placed.filter(F.col("distance") <= max_distance + near)
+        placed = stage_table(placed, f"placed-{turn}")
+        held = placed.filter(hit).groupBy("bucket", "rep", "n").agg(
+            F.min(F.struct("pivot", "distance")).alias("first")
         )
-        placed = stage_table(placed.select("bucket", "rep", "n", "distance"), f"placed-{turn}")
-        hit = F.col("distance") <= max_distance
-        close = placed.filter(~hit & (F.col("distance") <= max_distance + near))
+        held = held.select("bucket", "rep", "n", "first.*")
         across = fit & (F.col("x.distance") - F.col("y.distance") <= near)
-        found.append(with_distance(bucket_pairs(close, placed.filter(hit), across), sets))
+        pairs = meeting_pairs(placed.filter(~hit), held, ["bucket", "pivot"], across)
+        found.append(with_distance(pairs, sets))
 
         turn += 1
-        rest = placed.filter(~hit).select("bucket", "rep", "n")
-        active = stage_table(with_pivot(rest), f"buckets-{turn}")
+        done = held.select("bucket", "rep").unionByName(pivots)
+        rest = many.join(done, ["bucket", "rep"], "left_anti")
+        active = stage_table(shared_buckets(rest), f"buckets-{turn}")
 
     pairs = found[0]
     for more in found[1:]:
