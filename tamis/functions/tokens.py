@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the characters that the Java regex class \s matches.
@@ -17,12 +20,16 @@ def tokenize(text: Column) -> Column:
 
     Leading and inner empty tokens are kept, trailing ones dropped: the result
     of Spark ML's ``Tokenizer`` without its UDF, and NULL for NULL instead of a
-    failure. ``rtrim`` takes the trailing run in linear time, which the regex
-    ``\\s+$`` does not.
+    failure. Only a text that ends in whitespace, which the cheap test for it
+    finds, needs trimming before the split.
     """
-    blank = (F.length(text) > 0) & (F.rtrim(text, F.lit(WHITESPACE)) == "")
-    words = F.split(F.rtrim(F.lower(text), F.lit(WHITESPACE)), r"\s")
-    return F.when(blank, F.array().cast("array<string>")).otherwise(words)
+    trailing = reduce(or_, [F.endswith(text, F.lit(c)) for c in WHITESPACE])
+    blank = F.rtrim(text, F.lit(WHITESPACE)) == ""
+    trimmed = F.rtrim(F.lower(text), F.lit(WHITESPACE))
+    return F.when(
+        trailing,
+        F.when(blank, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s")),
+    ).otherwise(F.split(F.lower(text), r"\s"))
 
 
 def exploded(values: Column) -> Column:
@@ -34,24 +41,21 @@ def exploded(values: Column) -> Column:
     return F.explode_outer(values)
 
 
-def ngrams(tokens: Column, n: int = 2, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:
-    """All ``n``-grams of a token array, joined by one space.
+def ngrams(
+    df: DataFrame, tokens: str = "tokens", n: int = 2, stop_words: tuple[str, ...] = STOP_WORDS
+) -> DataFrame:
+    """All ``n``-grams of a token column as rows ``ngram``, words joined by one space.
 
-    Grams holding an empty token, or led by a stop word, are left out.
+    Grams holding an empty token, or led by a stop word, are left out. The array
+    is zipped with itself shifted by one, two, ... words, so a row costs no
+    function call per gram; the filter runs on the unfolded words.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-
-    def counted(start: Column) -> Column:
-        gram = F.slice(tokens, start, n)
-        kept = F.forall(gram, lambda word: word != "")
-        if stop_words:
-            kept = kept & ~F.element_at(tokens, start).isin(*stop_words)
-        return kept
-
-    starts = F.when(
-        F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
-    ).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        F.filter(starts, counted), lambda start: F.array_join(F.slice(tokens, start, n), " ")
-    )
+    words = [f"_w{i}" for i in range(n)]
+    shifted = [F.slice(tokens, i + 1, F.size(tokens)).alias(w) for i, w in enumerate(words)]
+    rows = df.select(F.inline_outer(F.arrays_zip(*shifted)).alias(*words))
+    full = reduce(and_, [F.col(w) != "" for w in words])
+    if stop_words:
+        full = full & ~F.col(words[0]).isin(*stop_words)
+    return rows.filter(full).select(F.concat_ws(" ", *words).alias("ngram"))

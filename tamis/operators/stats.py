@@ -47,8 +47,7 @@ def top_tokens(final: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
 def top_ngrams(
     final: DataFrame, n: int = 2, k: int = TOP_NGRAMS, stop_words: tuple[str, ...] = STOP_WORDS
 ) -> DataFrame:
-    grams = final.select(exploded(ngrams(F.col("tokens"), n, stop_words)).alias("ngram"))
-    return top_values(grams, "ngram", k)
+    return top_values(ngrams(final, "tokens", n, stop_words), "ngram", k)
 
 
 def length_counts(final: DataFrame) -> DataFrame:

@@ -1,0 +1,104 @@
+"""What the plans must and must not contain."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from tamis.operators import clean, clusters, dedupe, similar, stats
+from tamis.sources import testtables
+
+SF = "/root/testdata/sf0.001"
+LAZY = [
+    "clean_stage", "tokenize_final", "minhash_signature", "dedupe_signature", "final_dataset",
+    "stage_flow", "corpus_stats", "length_metrics", "top_tokens", "top_bigrams", "token_histogram",
+    "token_box_stats", "sft_format", "sft_text", "token_budget", "prompt_render", "chat_render",
+]
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(entry.queries()[name](spark, SF))
+    for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in text
+
+
+@pytest.mark.parametrize("name", ["clean_stage", "tokenize_final", "minhash_signature", "sft_format"])
+def test_narrow_operators_do_not_shuffle(spark, name, tmp_path):
+    """Apart from spreading a tiny input, and apart from the deduplication."""
+    text = plan(entry.queries()[name](spark, SF))
+    shuffles = re.findall(r"hashpartitioning\([^)]*\), (\w+)", text)
+    wanted = {"sft_format": ["REPARTITION_BY_NUM", "ENSURE_REQUIREMENTS"]}
+    assert sorted(set(shuffles)) == sorted(wanted.get(name, ["REPARTITION_BY_NUM"]))
+
+
+@pytest.mark.parametrize("name", ["top_tokens", "top_bigrams"])
+def test_top_k_is_not_a_full_sort(spark, name):
+    text = plan(entry.queries()[name](spark, SF))
+    assert "TakeOrderedAndProject" in text
+    assert "rangepartitioning" not in text
+
+
+def test_statistics_read_two_columns(spark):
+    text = plan(entry.queries()["top_tokens"](spark, SF))
+    assert re.findall(r"ReadSchema: (.*)", text) == ["struct<doc_id:bigint,text:string>"]
+
+
+def test_tokens_are_split_once(spark):
+    text = plan(stats.top_tokens(entry._final_text(spark, SF)))
+    final = text[text.rindex("SortAggregate") :]
+    assert "Filter" not in final.split("Generate")[0]
+
+
+def test_dedup_has_one_wide_shuffle(spark):
+    records = clean.clean_stage(spark.createDataFrame([], "id string, title string, content string, contents string, PMID bigint"))
+    assert plan(dedupe.dedupe_signature(records)).count("ENSURE_REQUIREMENTS") == 1
+
+
+def test_search_has_no_cross_join(spark, monkeypatch):
+    plans = []
+
+    def recording(module):
+        stage = module.stage_table
+
+        def wrapped(df, name):
+            plans.append(plan(df))
+            return stage(df, name)
+
+        monkeypatch.setattr(module, "stage_table", wrapped)
+
+    recording(similar)
+    recording(clusters)
+    clusters.dedupe_clusters(entry._words(spark, SF))
+    assert len(plans) > 4
+    for text in plans:
+        for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert word not in text
+
+
+def test_pivots_are_cut_before_the_shuffle(spark):
+    members = spark.createDataFrame([(1, "a", 3)], "bucket bigint, rep string, n int")
+    tree = plan(similar.smallest(members, 4)).split("(1) ")[0]
+    above, below = tree.split("Exchange")
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
+
+
+def test_narrow_operators_run_on_a_stream(spark, tmp_path):
+    """The narrow operators are plain expressions, so a streaming input works as it is."""
+    source = str(tmp_path / "raw")
+    raw = testtables.raw(spark, SF)
+    raw.write.parquet(source)
+    stream = clean.clean_stage(spark.readStream.schema(raw.schema).parquet(source))
+    query = (
+        stream.writeStream.format("memory").queryName("cleaned_stream")
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination(120)
+    assert spark.table("cleaned_stream").select(F.count("id")).first()[0] == clean.clean_stage(raw).count()
