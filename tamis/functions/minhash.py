@@ -17,13 +17,16 @@ COEFFICIENTS = (
 )
 
 
-def token_hash(token: Column) -> Column:
-    """First seven hex digits of the MD5: below 2**28, and the same in any SQL engine."""
-    return F.conv(F.substring(F.md5(token), 1, 7), 16, 10).cast("bigint")
-
-
 def distinct_hashes(tokens: Column) -> Column:
-    return F.transform(F.array_distinct(tokens), token_hash)
+    """One hash per distinct token: the first seven hex digits of its MD5.
+
+    The value is below 2**28, and the same in any SQL engine. The digits are
+    cast as a whole array, which is compiled code, unlike a cast in the lambda.
+    """
+    digits = F.transform(
+        F.array_distinct(tokens), lambda t: F.conv(F.substring(F.md5(t), 1, 7), 16, 10)
+    )
+    return digits.cast("array<bigint>")
 
 
 def minima(hashes: Column) -> list[Column]:

@@ -31,8 +31,10 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage and survives lost executors. Unlike a checkpointed
     RDD the table stays columnar, so later steps read only the columns they use.
+    Tables lie in one folder per application, to be removed with it.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    owner = spark.sparkContext.applicationId
+    path = f"{staging_root(spark)}/{owner}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
