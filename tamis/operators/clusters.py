@@ -66,8 +66,7 @@ def dedupe_clusters(docs: DataFrame, max_distance: float = MAX_DISTANCE) -> Data
     )
     named = named.select("set_key", F.coalesce("root", "rep").alias("cluster_id"))
     with_text = grouped.documents.join(named, "set_key").select("id", "cluster_id")
-    bare = docs.filter(F.coalesce(F.size("tokens"), F.lit(0)) == 0)
-    return with_text.unionByName(bare.select("id", F.col("id").alias("cluster_id")))
+    return with_text.unionByName(grouped.bare.withColumn("cluster_id", F.col("id")))
 
 
 def keep_cluster_heads(records: DataFrame, clusters: DataFrame) -> DataFrame:

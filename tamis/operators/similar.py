@@ -21,6 +21,7 @@ per pair, however large it is, and no partner is ever left out.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,34 +48,38 @@ EPSILON = 1e-9
 
 @dataclass(frozen=True)
 class TokenSets:
-    """``documents(id, set_key)`` and ``sets(rep, set_key, n, hashes)``, both stored."""
+    """Stored tables: ``documents(id, set_key)``, ``sets(rep, set_key, n, hashes)``, ``bare(id)``."""
 
     documents: DataFrame
     sets: DataFrame
+    bare: DataFrame
 
 
 def token_sets(docs: DataFrame) -> TokenSets:
     """Collapse documents ``(id, tokens)`` to their distinct token sets.
 
     ``rep`` is the smallest id of a set. Documents without tokens are similar
-    to nothing and stay out. Tokens are 64-bit hashes from here on.
+    to nothing; they are listed as ``bare``. Tokens are 64-bit hashes from here
+    on. The texts are read once; all that follows uses the stored tables.
     """
     words = docs.select("id", F.sort_array(F.array_distinct("tokens")).alias("words"))
-    documents = stage_table(
+    signed = stage_table(
         words.select(
             "id",
             F.md5(F.array_join("words", " ")).alias("set_key"),
             F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
         ),
         "set-documents",
-    ).filter(F.size("hashes") > 0)
+    )
+    documents = signed.filter(F.size("hashes") > 0)
+    bare = signed.filter(F.coalesce(F.size("hashes"), F.lit(0)) == 0).select("id")
     sets = documents.groupBy("set_key").agg(
         F.min("id").alias("rep"), F.first("hashes").alias("hashes")
     )
     sets = stage_table(
         sets.select("rep", "set_key", F.size("hashes").alias("n"), "hashes"), "token-sets"
     )
-    return TokenSets(documents.select("id", "set_key"), sets)
+    return TokenSets(documents.select("id", "set_key"), sets, bare)
 
 
 def frequent_hashes(sets: DataFrame, min_sets: int = FREQUENT_MIN_SETS) -> list[int]:
@@ -212,13 +217,13 @@ def smallest(members: DataFrame, count: int) -> DataFrame:
 
 
 def meeting_pairs(left: DataFrame, right: DataFrame, keys: list[str], condition: Column) -> DataFrame:
-    """Distinct set pairs ``a < b`` from two sides that share the keys."""
+    """Set pairs ``a < b`` from two sides that share the keys."""
     for key in keys:
         condition = (F.col(f"x.{key}") == F.col(f"y.{key}")) & condition
     joined = left.alias("x").join(right.alias("y"), condition)
     return joined.select(
         F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
-    ).distinct()
+    )
 
 
 def similar_sets(
@@ -237,11 +242,11 @@ def similar_sets(
     hit = F.col("distance") <= max_distance
     members = segment_keys(sets, frequent_hashes(sets, min_frequent), max_distance)
     active = stage_table(shared_buckets(members), "buckets-0")
-    found, turn = [], 0
+    measured, unmeasured, turn = [], [], 0
     while True:
         few = active.filter(F.col("size") <= small_bucket)
-        pairs = meeting_pairs(few, few, ["bucket"], (F.col("x.rep") < F.col("y.rep")) & fit)
-        found.append(with_distance(pairs, sets))
+        ordered = F.col("x.rep") < F.col("y.rep")
+        unmeasured.append(meeting_pairs(few, few, ["bucket"], ordered & fit))
         many = active.filter(F.col("size") > small_bucket).drop("size")
         if many.isEmpty():
             break
@@ -250,9 +255,9 @@ def similar_sets(
         pivots = stage_table(pivots, f"pivots-{turn}")
         spokes = many.join(pivots.withColumnRenamed("rep", "pivot"), "bucket").filter("pivot < rep")
         pairs = spokes.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-        measured = stage_table(with_distance(pairs, sets), f"spokes-{turn}")
-        found.append(measured)
-        placed = spokes.join(measured.withColumnsRenamed({"a": "pivot", "b": "rep"}), ["pivot", "rep"])
+        distances = stage_table(with_distance(pairs, sets), f"spokes-{turn}")
+        measured.append(distances)
+        placed = spokes.join(distances.withColumnsRenamed({"a": "pivot", "b": "rep"}), ["pivot", "rep"])
         placed = placed.filter(F.col("distance") <= max_distance + near)
         placed = stage_table(placed, f"placed-{turn}")
         held = placed.filter(hit).groupBy("bucket", "rep", "n").agg(
@@ -260,18 +265,16 @@ def similar_sets(
         )
         held = held.select("bucket", "rep", "n", "first.*")
         across = fit & (F.col("x.distance") - F.col("y.distance") <= near)
-        pairs = meeting_pairs(placed.filter(~hit), held, ["bucket", "pivot"], across)
-        found.append(with_distance(pairs, sets))
+        unmeasured.append(meeting_pairs(placed.filter(~hit), held, ["bucket", "pivot"], across))
 
         turn += 1
         done = held.select("bucket", "rep").unionByName(pivots)
         rest = many.join(done, ["bucket", "rep"], "left_anti")
         active = stage_table(shared_buckets(rest), f"buckets-{turn}")
 
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    pairs = pairs.filter(F.col("distance") <= max_distance)
+    # one join with the sets for all rounds
+    rest = with_distance(reduce(DataFrame.unionByName, unmeasured).distinct(), sets)
+    pairs = reduce(DataFrame.unionByName, measured, rest).filter(hit)
     return stage_table(pairs.groupBy("a", "b").agg(F.min("distance").alias("distance")), "similar")
 
 
