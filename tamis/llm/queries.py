@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, disclosure, fixity, records, replies
+from tamis.llm import decontaminate, disclosure, fixity, metric_join, records, replies
 from tamis.sources.staging import stage_table
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -77,6 +81,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_metric_join": op1_metric_join,
     "op2_records": op2_records,
     "op4_reply_trees": op4_reply_trees,
     "op6_warc": op6_warc,
