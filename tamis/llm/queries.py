@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, disclosure, fixity, metric_join, records, replies
+from tamis.llm import decontaminate, disclosure, fixity, metric_join, pages, records, replies
 from tamis.sources.staging import stage_table
 
 
@@ -46,9 +46,9 @@ def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archive of all pages against a replica in which every 97th page lost its first character."""
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     hurt = F.when(F.col("page_id") % 97 == 5, F.concat(F.lit("?"), F.substr("html", F.lit(2)))).otherwise(F.col("html"))
-    found = fixity.audit(fixity.warc_records(pages), fixity.warc_records(pages.withColumn("html", hurt)))
+    found = fixity.audit(fixity.warc_records(archive), fixity.warc_records(archive.withColumn("html", hurt)))
     return found.select(
         F.col("key").alias("page_id"), F.col("node").alias("position"), F.col("start").alias("start_offset"),
         F.col("end").alias("end_offset"), F.col("hash").alias("record_sha256"), "state",
@@ -69,6 +69,11 @@ def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.main_text(_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_items(docs, _table(spark, sf_dir, "benchmark"))
@@ -86,5 +91,6 @@ QUERIES = {
     "op4_reply_trees": op4_reply_trees,
     "op6_warc": op6_warc,
     "op7_disclosure": op7_disclosure,
+    "op9_pages": op9_pages,
     "op10_decontamination": op10_decontamination,
 }
