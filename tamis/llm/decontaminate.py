@@ -16,25 +16,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamis.llm.wording import FOLD
 from tamis.sources.staging import stage_table
 
 WIDTH = 10
 #: Characters of items per automaton. More items than that are scanned for in several passes.
 PIECE_CHARS = 500_000
 
-_WORD = np.zeros(256, bool)
-_WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-_FOLD = bytes(
-    c + 32 if 0x41 <= c <= 0x5A else c if _WORD[c] else 0x20 for c in range(256)
-)  # UTF-8 bytes to lower-case words and blanks
-
 FOUND = "n_words long, items array<string>, word_spans array<struct<first:long,last:long>>"
 SPANS = "array<struct<start:long,end:long>>"
 
 
 def windows_of(text: bytes, width: int) -> list[tuple[str, int]]:
     """The patterns of one item, each with its number of words."""
-    words = text.translate(_FOLD).split()
+    words = text.translate(FOLD).split()
     if not words:
         return []
     width = min(width, len(words))
@@ -56,7 +51,7 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def original_spans(text: bytes, words: list[tuple[int, int]]) -> list[dict]:
     """Spans of words as half-open spans of code points of the original text."""
     raw = np.frombuffer(text, np.uint8)
-    inside = np.concatenate(([False], np.frombuffer(text.translate(_FOLD), np.uint8) != 0x20, [False]))
+    inside = np.concatenate(([False], np.frombuffer(text.translate(FOLD), np.uint8) != 0x20, [False]))
     starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
     points = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
     return [{"start": int(points[starts[a]]), "end": int(points[ends[b - 1]])} for a, b in words]
@@ -82,7 +77,7 @@ def _scanner(shared, text: str):
             counts, items, spans = [], [], []
             before = zip(batch["items"].to_pylist(), batch["word_spans"].to_pylist(), strict=True)
             for raw, (old_items, old_spans) in zip(batch[text].cast(pa.binary()), before, strict=True):
-                words = (raw.as_py() or b"").translate(_FOLD).split()
+                words = (raw.as_py() or b"").translate(FOLD).split()
                 found, hits = set(old_items), [(x["first"], x["last"]) for x in old_spans]
                 if words and tree:
                     line = f" {b' '.join(words).decode('latin-1')} "

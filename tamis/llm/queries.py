@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, disclosure, fixity, metric_join, pages, records, replies
+from tamis.llm import decontaminate, disclosure, fixity, metric_join, pages, records, replies, set_join
 from tamis.sources.staging import stage_table
 
 
@@ -25,6 +25,10 @@ def op2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(manifest).withColumnRenamed("key", "doc_id")
 
 
+def op3_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("row")
+
+
 def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = "\\### Assistant: </turn> ok"
@@ -88,6 +92,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_metric_join": op1_metric_join,
     "op2_records": op2_records,
+    "op3_set_join": op3_set_join,
     "op4_reply_trees": op4_reply_trees,
     "op6_warc": op6_warc,
     "op7_disclosure": op7_disclosure,
