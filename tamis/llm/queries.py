@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, disclosure, fixity, metric_join, pages, records, replies, set_join
+import corpus_pipeline
+from tamis.llm import decontaminate, disclosure, fixity, kneser, lattice, metric_join, pages, records, replies, set_join
 from tamis.sources.staging import stage_table
 
 
@@ -48,6 +49,11 @@ def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return kneser.score(docs, _table(spark, sf_dir, "labels")).drop("row")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archive of all pages against a replica in which every 97th page lost its first character."""
     archive = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -73,6 +79,13 @@ def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lattice.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+
+
 def op9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.main_text(_table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -94,8 +107,11 @@ QUERIES = {
     "op2_records": op2_records,
     "op3_set_join": op3_set_join,
     "op4_reply_trees": op4_reply_trees,
+    "op5_quality": op5_quality,
     "op6_warc": op6_warc,
     "op7_disclosure": op7_disclosure,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_pages": op9_pages,
     "op10_decontamination": op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
