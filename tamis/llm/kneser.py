@@ -5,9 +5,9 @@ counted over all trusted documents. Its vocabulary are the words that make up at
 ``SHARE`` of the corpus, hence at most ``1 / SHARE`` words; other words are known by their
 shape and cost the choice among the words of that shape. Counts and probabilities are
 sharded tables: each block of documents asks for its distinct bigrams, a join answers, and
-the block's scan sums the answers per document. A language's thresholds are quantiles of the
-scores of trusted documents that the model was not trained on: text above the upper one is
-unlike the language, text below the lower one repeats itself.
+the block's scan sums the answers per document. A language's threshold lies a number of
+interquartile ranges above the upper quartile of the scores of trusted documents that the
+model was not trained on; quartiles hold also where few are held out or some are bad.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from tamis.llm.blockwise import read_block, with_block, write_by_block
 from tamis.sources.staging import stage_table
 
 SHARE = 2e-5
-#: Every ``FOLDS``-th text, by hash, is held out to set the thresholds. Both tails beyond the
-#: quantile are rejected.
-FOLDS, QUANTILE = 5, 0.997
+#: Every ``FOLDS``-th text, by hash, is held out to set the thresholds, which lie ``FENCE``
+#: interquartile ranges above the upper quartile.
+FOLDS, FENCE = 5, 2.0
 #: Average words that each document's score is mixed with, so that a few words do not decide.
-PRIOR = 10
+PRIOR = 30
 #: Labels up to this number of rows are broadcast (16 bytes each); more are joined by shuffle.
 BROADCAST_LABELS = 2_000_000
 HELD_WORDS = 400_000
@@ -236,13 +236,13 @@ def train(counts: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame, Da
 
 def score(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-    share: float = SHARE, quantile: float = QUANTILE,
+    share: float = SHARE, fence: float = FENCE,
 ) -> DataFrame:
-    """``(key, row, lang, n_tokens, perplexity, low, high, rejected)`` for every row of ``docs``.
+    """``(key, row, lang, n_tokens, perplexity, threshold, rejected)`` for every row of ``docs``.
 
     ``docs`` is a scan of files; ``labels`` has the same key and ``quality``, ``toxic``: a
     document is trusted if all its labels say quality 1 and not toxic. Rejected are documents
-    whose perplexity is beyond their language's thresholds. Null text is empty and scores as
+    whose perplexity is above their language's threshold. Null text is empty and scores as
     average, null language is a language of its own. A language that has no frequent words or
     no held-out trusted documents has no threshold, and none of its documents is rejected.
     ``row`` is a hash of key and text; repeated rows keep a row each. Other columns are ignored;
@@ -302,13 +302,12 @@ def score(
     held = held.filter(F.col("lang").isin(vocabulary.langs))
     mean = F.broadcast(held.groupBy("lang").agg((F.sum("surprise") / F.sum("n_tokens")).alias("mean")))
     mixed = (F.col("surprise") + PRIOR * F.col("mean")) / (F.col("n_tokens") + PRIOR)
-    tails = F.percentile_approx(mixed, [1 - quantile, quantile], 10_000)
-    cut = held.join(mean, "lang").groupBy("lang").agg(tails.alias("cut"))
+    quartiles = held.join(mean, "lang").groupBy("lang").agg(F.percentile_approx(mixed, [0.25, 0.75], 10_000).alias("q"))
+    cut = quartiles.select("lang", (F.col("q")[1] + fence * (F.col("q")[1] - F.col("q")[0])).alias("cut"))
     result = scored.join(mean, "lang", "left").join(F.broadcast(cut), "lang", "left")
     return result.select(
         F.col("id").alias(key), "row", "lang", "n_tokens", F.exp(mixed).alias("perplexity"),
-        F.exp(F.col("cut")[0]).alias("low"), F.exp(F.col("cut")[1]).alias("high"),
-        F.coalesce(~mixed.between(F.col("cut")[0], F.col("cut")[1]), F.lit(False)).alias("rejected"),
+        F.exp("cut").alias("threshold"), F.coalesce(mixed > F.col("cut"), F.lit(False)).alias("rejected"),
     )
 
 
