@@ -15,6 +15,20 @@ COEFFICIENTS = (
     (22695477, 1),
     (134775813, 7),
 )
+
+
+def band_coefficients(n: int) -> tuple[list[int], list[int]]:
+    """The two lists of coefficients of ``n`` further hash functions, by their rule."""
+    first, second, x = [], [], 1
+    for _ in range(n):
+        a = x * 48271 % 2147483647
+        x = a * 48271 % 2147483647
+        first.append(a % 2038074742 + 1)
+        second.append(x % 2038074743)
+    return first, second
+
+
+BAND_A, BAND_B = band_coefficients(100)
 SIGNATURE = "m0, m1, m2, m3, m4"
 
 
@@ -96,17 +110,25 @@ CTES = {
         FROM final""",
     "training": """
         SELECT id, input_text || target_text AS text FROM examples WHERE target_text IS NOT NULL""",
-    # near-duplicates by brute force over shared words
-    "doc_words": "SELECT DISTINCT id, unnest(tokens) AS token FROM worded",
-    "doc_sizes": "SELECT id, count(*) AS n FROM doc_words GROUP BY id",
-    "shared": """
-        SELECT a.id AS a, b.id AS b, count(*) AS common
-        FROM doc_words a JOIN doc_words b ON a.token = b.token AND a.id < b.id
-        GROUP BY a.id, b.id""",
+    # near-duplicates: the leaders of 20 bands of five minima, verified exactly
+    "minima": f"""
+        SELECT id, tokens, list_transform(range(1, 101), lambda i: list_min(list_transform(hashes,
+                   lambda h: ((h + 1) * {BAND_A}[i] + {BAND_B}[i]) % 2038074743))) AS minima
+        FROM hashed WHERE len(hashes) > 0""",
+    "banded": """
+        SELECT id, k, minima[5 * k + 1 : 5 * k + 5] AS band
+        FROM (SELECT id, minima, unnest(range(0, 20)) AS k FROM minima)""",
+    "led": """
+        SELECT DISTINCT a, id AS b
+        FROM banded JOIN (SELECT k, band, min(id) AS a FROM banded GROUP BY k, band) USING (k, band)
+        WHERE a <> id""",
     "alike": """
-        SELECT a, b, 1 - common / (x.n + y.n - common) AS distance
-        FROM shared JOIN doc_sizes x ON x.id = a JOIN doc_sizes y ON y.id = b
-        WHERE 1 - common / (x.n + y.n - common) <= 0.1""",
+        SELECT a, b, distance FROM (
+            SELECT a, b, 1 - common / (x + y - common) AS distance FROM (
+                SELECT a, b, len(list_intersect(list_distinct(m.tokens), list_distinct(n.tokens))) AS common,
+                       len(list_distinct(m.tokens)) AS x, len(list_distinct(n.tokens)) AS y
+                FROM led JOIN minima m ON m.id = a JOIN minima n ON n.id = b))
+        WHERE distance <= 0.1 + 1e-9""",
     "edges": "SELECT a, b FROM alike UNION ALL SELECT b, a FROM alike",
     "reached": """
         SELECT id, id AS seen FROM cleaned
@@ -120,12 +142,12 @@ NEEDS = {
     "cleaned": ["kept"], "worded": ["cleaned"], "hashed": ["worded"], "signed": ["hashed"],
     "ranked": ["signed"], "final": ["ranked"], "counts": ["cleaned", "final"],
     "lengths": ["final"], "words": ["final"], "word_counts": ["words"],
-    "examples": ["final"], "training": ["examples"], "doc_words": ["worded"],
-    "doc_sizes": ["doc_words"], "shared": ["doc_words"], "alike": ["shared", "doc_sizes"],
+    "examples": ["final"], "training": ["examples"], "minima": ["hashed"], "banded": ["minima"],
+    "led": ["banded"], "alike": ["led", "minima"],
     "edges": ["alike"], "reached": ["cleaned", "edges"], "clusters": ["reached"],
 }
 
-STORED = {"worded", "final", "doc_words", "alike", "edges"}
+STORED = {"worded", "final", "minima", "banded", "alike", "edges"}
 
 
 def query(select: str, *sources: str) -> str:
@@ -196,8 +218,7 @@ ORACLES = {
     "minhash_signature": query(f"SELECT id, {SIGNATURE} FROM signed", "signed"),
     "dedupe_signature": query("SELECT id, title, PMID, main_text FROM final", "final"),
     "near_dup_pairs": query(
-        """SELECT min(a) AS id_a, b AS id_b, min_by(distance, a) AS distance
-           FROM alike GROUP BY b""",
+        "SELECT a AS id_a, b AS id_b, distance FROM alike",
         "alike",
     ),
     "dedupe_clusters": query("SELECT id, cluster_id FROM clusters", "clusters"),

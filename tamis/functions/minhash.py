@@ -39,3 +39,13 @@ def minima(hashes: Column) -> list[Column]:
         return F.array_min(F.transform(hashes, lambda h: ((h + 1) * a + b) % PRIME))
 
     return [minimum(a, b) for a, b in COEFFICIENTS]
+
+
+def coefficient_pairs(n: int) -> list[tuple[int, int]]:
+    """``n`` pairs (a, b) for further hash functions, from one congruential sequence."""
+    pairs, x = [], 1
+    for _ in range(n):
+        a, b = x * 48271 % 2147483647, x * 48271 * 48271 % 2147483647
+        x = b
+        pairs.append((a % (PRIME - 1) + 1, b % PRIME))
+    return pairs

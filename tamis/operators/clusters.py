@@ -21,9 +21,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``; the root is the smallest node.
 
     Alternating large-star and small-star steps (Kiveris et al., SoCC 2014):
-    about log(n) rounds even for long chains. Minima are pre-aggregated, and
-    the joins that hand them back are unique on one side, so a hub is split by
-    adaptive execution. Every round is stored, which keeps the plan short.
+    about log(n) rounds even for long chains. Minima are pre-aggregated and
+    stored before they are joined back: both sides of these joins then come from
+    plain shuffles, and adaptive execution can split the edges of a hub. Every
+    round is stored, which also keeps the plan short.
     """
     current = stage_table(
         edges.filter("a <> b")
@@ -36,10 +37,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         turn += 1
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        low = stage_table(low, f"large-low-{turn}")
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage_table(large.distinct(), f"large-star-{turn}")
 
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stage_table(large.groupBy("u").agg(F.min("v").alias("m")), f"small-low-{turn}")
         hooked = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hooked.unionByName(low.withColumnRenamed("m", "v"))
         current = stage_table(small.distinct(), f"small-star-{turn}")
@@ -60,11 +62,12 @@ def dedupe_clusters(docs: DataFrame, max_distance: float = MAX_DISTANCE) -> Data
     tokens is a cluster of its own.
     """
     grouped = token_sets(docs)
-    roots = connected_components(similar_sets(grouped.sets, max_distance))
+    edges = similar_sets(grouped.sets, max_distance).filter("a <> b").select("a", "b")
+    roots = connected_components(edges)
     named = grouped.sets.select("set_key", "rep").join(
         roots.withColumnRenamed("node", "rep"), "rep", "left"
     )
-    named = named.select("set_key", F.coalesce("root", "rep").alias("cluster_id"))
+    named = stage_table(named.select("set_key", F.coalesce("root", "rep").alias("cluster_id")), "set-clusters")
     with_text = grouped.documents.join(named, "set_key").select("id", "cluster_id")
     return with_text.unionByName(grouped.bare.withColumn("cluster_id", F.col("id")))
 

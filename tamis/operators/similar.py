@@ -1,54 +1,35 @@
 """Near-duplicate search: documents whose token sets have Jaccard distance <= 0.1.
 
-The search is exact. It follows the exact set-similarity join by partition and
-enumeration (Arasu, Ganti, Kaushik, VLDB 2006) and is built from equi-joins and
-aggregates only.
-
-1. Documents with equal token sets become one set with one representative.
-2. Token hashes are dealt out to ``k`` segments, with ``k`` larger than the
-   number of tokens by which two similar sets can differ. Similar sets then
-   agree on whole segments; a segment's content is a bucket key.
-3. In each bucket every set is compared with a few pivots, the smallest ids,
-   first one, then more per round. Sets similar to the same pivot need no
-   comparison among themselves: the pivot connects them. The Jaccard distance
-   is a metric, so sets within 0.1 of a pivot can only be similar to sets
-   within 0.2 of it. Sets that are similar to no pivot go to the next round.
-
-A group of copies therefore costs one comparison per member and round, not one
-per pair, however large it is, and no partner is ever left out.
+Banded MinHash. A set has ``BANDS`` band values of ``ROWS`` minima each; sets that agree on a
+band are candidates (OR over bands). For every band value there is one edge per set, to the
+smallest id of that value, its leader; the exact Jaccard distance then decides. So there are
+at most ``BANDS`` comparisons per set, whatever the corpus looks like.
+
+The search is approximate: sets of Jaccard similarity J agree on a band with probability
+J**ROWS, that is 0.59 at 0.9, and on none of 20 bands once in 50 million times; a pair below
+the leader of all its bands is found through the leader or not at all.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.functions.tokens import exploded
+from tamis.functions import minhash
 from tamis.sources.staging import stage_table
 
 # Fixed value: largest Jaccard distance of near-duplicates.
 MAX_DISTANCE = 0.1
 
-# A bucket of so few sets is compared pair by pair (at most 496 pairs).
-SMALL_BUCKET = 32
-
-# Tokens counted as frequent: at most this many, each in at least so many sets.
-FREQUENT_TOKENS = 10_000
-FREQUENT_MIN_SETS = 1_000
-
-# Pivots per bucket in the first and later rounds; the last number repeats. The
-# planner keeps "the first q per group" map-side up to a thousand.
-PIVOTS = (1, 4, 16, 64, 256, 1000)
-
+BANDS, ROWS = 20, 5
 EPSILON = 1e-9
 
 
 @dataclass(frozen=True)
 class TokenSets:
-    """Stored tables: ``documents(id, set_key)``, ``sets(rep, set_key, n, hashes)``, ``bare(id)``."""
+    """Stored tables: ``documents(id, set_key)``, ``sets(rep, set_key, hashes, words)``, ``bare(id)``."""
 
     documents: DataFrame
     sets: DataFrame
@@ -58,251 +39,81 @@ class TokenSets:
 def token_sets(docs: DataFrame) -> TokenSets:
     """Collapse documents ``(id, tokens)`` to their distinct token sets.
 
-    ``rep`` is the smallest id of a set. Documents without tokens are similar
-    to nothing; they are listed as ``bare``. Tokens are 64-bit hashes from here
-    on. The texts are read once; all that follows uses the stored tables.
+    ``rep`` is the smallest id of a set. Documents without tokens are similar to nothing; they
+    are listed as ``bare``. Sets are compared by ``words``, 64-bit token hashes, and signed by
+    ``hashes``, which any SQL engine can compute. The texts are read once.
     """
     words = docs.select("id", F.sort_array(F.array_distinct("tokens")).alias("words"))
     signed = stage_table(
         words.select(
             "id",
             F.md5(F.array_join("words", " ")).alias("set_key"),
-            F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
+            F.transform("words", lambda w: F.xxhash64(w)).alias("words"),
+            minhash.distinct_hashes(F.col("words")).alias("hashes"),
         ),
         "set-documents",
     )
-    documents = signed.filter(F.size("hashes") > 0)
-    bare = signed.filter(F.coalesce(F.size("hashes"), F.lit(0)) == 0).select("id")
+    documents = signed.filter(F.size("words") > 0)
+    bare = signed.filter(F.coalesce(F.size("words"), F.lit(0)) == 0).select("id")
     sets = documents.groupBy("set_key").agg(
-        F.min("id").alias("rep"), F.first("hashes").alias("hashes")
-    )
-    sets = stage_table(
-        sets.select("rep", "set_key", F.size("hashes").alias("n"), "hashes"), "token-sets"
+        F.min("id").alias("rep"), F.first("hashes").alias("hashes"), F.first("words").alias("words")
     )
+    sets = stage_table(sets.select("rep", "set_key", "hashes", "words"), "token-sets")
     return TokenSets(documents.select("id", "set_key"), sets, bare)
 
 
-def frequent_hashes(sets: DataFrame, min_sets: int = FREQUENT_MIN_SETS) -> list[int]:
-    """The most frequent token hashes: never more than ``FREQUENT_TOKENS`` numbers."""
-    counts = sets.select(F.explode("hashes").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.filter(F.col("n") >= min_sets).orderBy(F.desc("n"), "h").limit(FREQUENT_TOKENS)
-    return [row["h"] for row in top.collect()]
-
-
-def segment_keys(sets: DataFrame, frequent: list[int], max_distance: float) -> DataFrame:
-    """``(bucket, rep, n)``: similar sets share at least one bucket.
-
-    Sizes fall into classes so narrow that similar sets are in the same class
-    or in neighbouring ones; a set takes part in its own class and in the next,
-    so a pair always meets in one of them. There ``differ`` bounds the tokens
-    that only one of two similar sets holds, so of ``differ + 1 + spare``
-    segments at least ``spare + 1`` agree.
-
-    A segment without a rare token (``hollow``) is shared by everything that is
-    built on the same boilerplate and makes a poor key. A set with at most
-    ``spare`` hollow segments agrees with each similar set on one that is not
-    hollow, and can leave its hollow ones out. That gives three kinds of sets:
-
-    * easy: few hollow segments at the coarse division,
-    * hard: too many there, but few at a division four times finer,
-    * dense: too many at both, hardly any rare tokens.
+def band_values(sets: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(rep, band)``: one row per set and band; ``band`` is a hash of number and minima.
 
-    All sets give their solid coarse segments (they find the partners of easy
-    sets), hard and dense ones also their solid fine segments (partners of
-    hard sets), and dense ones their hollow coarse segments too, empty ones
-    included (dense partners of dense sets).
+    The minima are plain aggregates over the exploded hashes, combined before the shuffle.
     """
-    similarity = 1.0 - max_distance
-    step = (1.0 + EPSILON) / similarity
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(step))).cast("int")
-    # two sets in classes j - 1 and j hold at most 2 * step^(j + 1) tokens together
-    bound = 2.0 * F.pow(F.lit(step), F.col("j") + 1) * (max_distance / (2.0 - max_distance))
-    needed = F.col("differ") + 1
+    pairs = minhash.coefficient_pairs(bands * rows)
+    exploded = sets.select("rep", F.explode("hashes").alias("h"))
+    minima = [F.min(((F.col("h") + 1) * a + b) % minhash.PRIME).alias(f"m{i}") for i, (a, b) in enumerate(pairs)]
+    signed = exploded.groupBy("rep").agg(*minima)
+    values = [
+        F.xxhash64(F.lit(k), *(f"m{i}" for i in range(k * rows, (k + 1) * rows))) for k in range(bands)
+    ]
+    return signed.select("rep", F.explode(F.array(*values)).alias("band"))
 
-    def is_rare(h: Column) -> Column:
-        return ~h.isin(frequent) if frequent else F.lit(True)
 
-    def segment(h: Column, k: Column) -> Column:
-        return F.pmod(h, k).cast("int")
+def leader_edges(sets: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(a, b)``: each set ``b`` with the leaders ``a`` of its bands, itself where it leads.
 
-    def hollow(k: Column) -> Column:
-        solid = F.array_distinct(F.transform("rare", lambda h: segment(h, k)))
-        return k - F.size(solid)
-
-    def division(fine: bool, k: Column, keep_all: Column) -> Column:
-        return F.struct(F.lit(fine).alias("fine"), k.alias("k"), keep_all.alias("keep_all"))
-
-    coarse, fine = F.col("k_coarse"), F.col("k_fine")
-    easy = hollow(coarse) <= coarse - needed
-    dense = hollow(fine) > fine - needed
-    solid_only = F.lit(False)
-    classed = (
-        sets.withColumn("rare", F.filter("hashes", is_rare))
-        .withColumn("j", F.explode(F.array(size_class, size_class + 1)))
-        .withColumn("differ", F.floor(bound + EPSILON).cast("int"))
-        .filter("differ > 0")  # else only equal sets are similar, and those are one set
-        .withColumns({
-            "k_coarse": needed + F.greatest(F.lit(1), F.ceil(needed / 4).cast("int")),
-            "k_fine": needed * 4,
-        })
-        .withColumns({"easy": easy, "dense": dense})
-        .withColumn(
-            "division",
-            F.explode(
-                F.when(F.col("easy"), F.array(division(False, coarse, solid_only))).otherwise(
-                    F.array(
-                        division(False, coarse, F.col("dense")), division(True, fine, solid_only)
-                    )
-                )
-            ),
-        )
-        .select("rep", "n", "j", "hashes", "division.*")
-    )
-
-    def cell(h: Column) -> Column:
-        return F.struct(
-            segment(h, F.col("k")).alias("seg"), h.alias("h"), is_rare(h).alias("rare")
-        )
-
-    def blank(seg: Column) -> Column:
-        return F.struct(
-            seg.alias("seg"), F.lit(0).cast("bigint").alias("h"), F.lit(False).alias("rare")
-        )
-
-    taken = F.transform("hashes", lambda h: segment(h, F.col("k")))
-    empty = F.array_except(F.sequence(F.lit(0), F.col("k") - 1), taken)
-    cells = F.transform("hashes", cell)
-    cells = F.when(F.col("keep_all"), F.concat(cells, F.transform(empty, blank))).otherwise(cells)
-    segments = (
-        classed.select("rep", "n", "j", "fine", "keep_all", exploded(cells).alias("cell"))
-        .select("rep", "n", "j", "fine", "keep_all", "cell.*")
-        .groupBy("rep", "n", "j", "fine", "keep_all", "seg")
-        .agg(F.bit_xor("h").alias("content"), F.max("rare").alias("solid"))
-    )
-    return segments.filter("solid OR keep_all").select(
-        F.xxhash64("j", "fine", "seg", "content").alias("bucket"), "rep", "n"
-    )
-
-
-def with_distance(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact Jaccard distance of set pairs ``(a, b)``.
-
-    ``sets`` is unique on ``rep``, so a pivot with very many partners is a skewed
-    join of the kind that adaptive execution splits.
+    The leaders are stored before they are joined back, so that both sides of that join come
+    from plain shuffles and adaptive execution can split a band held by many sets.
     """
-    side = sets.select("rep", "hashes")
-    left = side.withColumnsRenamed({"rep": "a", "hashes": "ha"})
-    right = side.withColumnsRenamed({"rep": "b", "hashes": "hb"})
-    common = F.size(F.array_intersect("ha", "hb"))
-    joined = pairs.join(left, "a").join(right, "b").withColumn("common", common)
-    union = F.size("ha") + F.size("hb") - F.col("common")
-    return joined.select("a", "b", (1 - F.col("common") / union).alias("distance"))
-
-
-def sizes_fit(a: Column, b: Column, max_distance: float) -> Column:
-    return F.least(a, b) >= F.greatest(a, b) * (1.0 - max_distance) - EPSILON
-
-
-def shared_buckets(members: DataFrame) -> DataFrame:
-    """Append the ``size`` of each bucket; buckets of one set are dropped."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    return members.join(sizes, "bucket")
-
-
-def smallest(members: DataFrame, count: int) -> DataFrame:
-    """The first ``count`` sets of each bucket."""
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("rep"))
-    ranked = members.withColumn("rank", rank).filter(F.col("rank") <= count)
-    return ranked.select("bucket", "rep")
-
-
-def meeting_pairs(left: DataFrame, right: DataFrame, keys: list[str], condition: Column) -> DataFrame:
-    """Set pairs ``a < b`` from two sides that share the keys."""
-    for key in keys:
-        condition = (F.col(f"x.{key}") == F.col(f"y.{key}")) & condition
-    joined = left.alias("x").join(right.alias("y"), condition)
-    return joined.select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
-    )
-
+    banded = stage_table(band_values(sets, bands, rows), "bands")
+    leaders = stage_table(banded.groupBy("band").agg(F.min("rep").alias("a")), "band-leaders")
+    return banded.join(leaders, "band").select("a", F.col("rep").alias("b")).distinct()
 
-def similar_sets(
-    sets: DataFrame,
-    max_distance: float = MAX_DISTANCE,
-    min_frequent: int = FREQUENT_MIN_SETS,
-    small_bucket: int = SMALL_BUCKET,
-) -> DataFrame:
-    """Similar pairs ``(a, b, distance)``, ``a < b``, of set representatives.
 
-    Not every pair is listed, but every set's smallest similar partner is, and
-    so are enough pairs to connect what is connected.
-    """
-    fit = sizes_fit(F.col("x.n"), F.col("y.n"), max_distance)
-    near = max_distance + EPSILON
-    hit = F.col("distance") <= max_distance
-    members = segment_keys(sets, frequent_hashes(sets, min_frequent), max_distance)
-    active = stage_table(shared_buckets(members), "buckets-0")
-    measured, unmeasured, turn = [], [], 0
-    while True:
-        few = active.filter(F.col("size") <= small_bucket)
-        ordered = F.col("x.rep") < F.col("y.rep")
-        unmeasured.append(meeting_pairs(few, few, ["bucket"], ordered & fit))
-        many = active.filter(F.col("size") > small_bucket).drop("size")
-        if many.isEmpty():
-            break
-
-        pivots = smallest(many, PIVOTS[min(turn, len(PIVOTS) - 1)])
-        pivots = stage_table(pivots, f"pivots-{turn}")
-        spokes = many.join(pivots.withColumnRenamed("rep", "pivot"), "bucket").filter("pivot < rep")
-        pairs = spokes.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-        distances = stage_table(with_distance(pairs, sets), f"spokes-{turn}")
-        measured.append(distances)
-        placed = spokes.join(distances.withColumnsRenamed({"a": "pivot", "b": "rep"}), ["pivot", "rep"])
-        placed = placed.filter(F.col("distance") <= max_distance + near)
-        placed = stage_table(placed, f"placed-{turn}")
-        held = placed.filter(hit).groupBy("bucket", "rep", "n").agg(
-            F.min(F.struct("pivot", "distance")).alias("first")
-        )
-        held = held.select("bucket", "rep", "n", "first.*")
-        across = fit & (F.col("x.distance") - F.col("y.distance") <= near)
-        unmeasured.append(meeting_pairs(placed.filter(~hit), held, ["bucket", "pivot"], across))
+def with_distance(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(a, b, distance)``: the exact Jaccard distance of sets named by their representatives."""
+    left = sets.select(F.col("rep").alias("a"), F.col("words").alias("x"))
+    right = sets.select(F.col("rep").alias("b"), F.col("words").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    distance = 1 - common / (F.size("x") + F.size("y") - common)
+    return pairs.join(left, "a").join(right, "b").select("a", "b", distance.alias("distance"))
 
-        turn += 1
-        done = held.select("bucket", "rep").unionByName(pivots)
-        rest = many.join(done, ["bucket", "rep"], "left_anti")
-        active = stage_table(shared_buckets(rest), f"buckets-{turn}")
 
-    # one join with the sets for all rounds
-    rest = with_distance(reduce(DataFrame.unionByName, unmeasured).distinct(), sets)
-    pairs = reduce(DataFrame.unionByName, measured, rest).filter(hit)
-    return stage_table(pairs.groupBy("a", "b").agg(F.min("distance").alias("distance")), "similar")
+def similar_sets(sets: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
+    """Verified leader edges ``(a, b, distance)``, stored; a set that leads itself has distance 0."""
+    edges = stage_table(leader_edges(sets), "leader-edges")
+    own = edges.filter("a = b").withColumn("distance", F.lit(0.0))
+    measured = with_distance(edges.filter("a <> b"), sets).filter(F.col("distance") <= max_distance + EPSILON)
+    return stage_table(own.unionByName(measured), "similar-sets")
 
 
-def first_partners(grouped: TokenSets, similar: DataFrame) -> DataFrame:
-    """``(id_a, id_b, distance)``: each document's smallest similar document before it.
+def near_dup_pairs(docs: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
+    """``(id_a, id_b, distance)``: each document with those leaders of its bands that are similar.
 
-    A document is listed as ``id_b`` exactly if a smaller id is similar to it.
-    The full list of pairs grows with the square of a group of copies; this
-    one has at most one row per document and names the same documents.
+    Not every similar pair is listed, as that list grows with the square of a group of copies;
+    of a group, all members are paired with common leaders.
     """
-    best = similar.groupBy(F.col("b").alias("rep")).agg(
-        F.min(F.struct(F.col("a").alias("id"), "distance")).alias("best")
-    )
-    sets = grouped.sets.select("set_key", "rep").join(best, "rep", "left")
-    own = F.when(
-        F.col("id") != F.col("rep"), F.struct(F.col("rep").alias("id"), F.lit(0.0).alias("distance"))
-    )
-    return (
-        grouped.documents.join(sets, "set_key")
-        .withColumn("partner", F.least("best", own))
-        .filter("partner IS NOT NULL")
-        .select(
-            F.col("partner.id").alias("id_a"), F.col("id").alias("id_b"), F.col("partner.distance")
-        )
-    )
-
-
-def near_dup_pairs(docs: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
-    """Near-duplicates among documents ``(id, tokens)``; see :func:`first_partners`."""
     grouped = token_sets(docs)
-    return first_partners(grouped, similar_sets(grouped.sets, max_distance))
+    edges = similar_sets(grouped.sets, max_distance)
+    edges = edges.join(grouped.sets.select(F.col("rep").alias("b"), "set_key"), "b")
+    edges = stage_table(edges.select("set_key", "a", "distance"), "leaders-of-sets")
+    pairs = grouped.documents.join(edges, "set_key").filter("a <> id")
+    return pairs.select(F.col("a").alias("id_a"), F.col("id").alias("id_b"), "distance")
