@@ -34,7 +34,8 @@ def jumps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Jump tables and ``(id, depth, total)`` of every message that has a root above it.
 
     Table k is ``(id, up)``: the message 2^k steps above. A parent that is not there counts as
-    none. Messages on or below a cycle of parents never reach a root and are left out.
+    none. Messages on or below a cycle of parents never reach a root and are left out. Only
+    messages that have not reached their root take part in the next round.
     """
     known = messages.select(F.col("id").alias("known"))
     state = messages.select("id", "parent", "score").join(known, F.col("parent") == F.col("known"), "left")
@@ -42,23 +43,24 @@ def jumps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         state.select("id", F.col("known").alias("up"), F.lit(1).cast("long").alias("depth"),
                      F.coalesce("score", F.lit(0.0)).cast("double").alias("total")), "jump-0",
     )
+    reached, open_ = state.filter("up is null"), state.filter("up is not null")
     tables, limit = [], max(1, state.count()).bit_length() + 1
-    while not state.filter("up is not null").isEmpty() and len(tables) < limit:
-        tables.append(state.filter("up is not null").select("id", "up"))
-        above = state.select(
+    while not open_.isEmpty() and len(tables) < limit:
+        tables.append(open_.select("id", "up"))
+        above = reached.unionByName(open_).select(
             F.col("id").alias("up"), F.col("up").alias("far"),
             F.col("depth").alias("more"), F.col("total").alias("gain"),
         )
-        step = state.join(above, "up", "left")
+        step = open_.join(above, "up")
         state = stage_table(
             step.select(
                 "id", F.col("far").alias("up"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("gain", F.lit(0.0))).alias("total"),
+                (F.col("depth") + F.col("more")).alias("depth"), (F.col("total") + F.col("gain")).alias("total"),
             ),
             f"jump-{len(tables)}",
         )
-    return tables, state.filter("up is null").drop("up")
+        reached, open_ = reached.unionByName(state.filter("up is null")), state.filter("up is not null")
+    return tables, reached.drop("up")
 
 
 def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
