@@ -360,14 +360,26 @@ ORACLES = {
         "training",
     ),
     "chat_render": f"""
-        SELECT conv_id, CAST(floor(turn / 512) AS BIGINT) AS part, count(*) AS n_messages,
-               string_agg(CASE WHEN role IN ('user', 'system', 'assistant')
-                               THEN '<|' || role || '|>' || {LINE} || coalesce(text, '')
-                                    || '</s>' || {LINE}
-                               ELSE '' END, '' ORDER BY turn)
-               || CASE WHEN floor(turn / 512) = floor(last / 512)
-                       THEN '<|assistant|>' || {LINE} ELSE '' END AS text
+        SELECT conv_id, turn,
+               CASE WHEN role IN ('user', 'system', 'assistant')
+                    THEN '<|' || role || '|>' || {LINE} || coalesce(text, '') || '</s>' || {LINE}
+                    ELSE '' END
+               || CASE WHEN turn = last THEN '<|assistant|>' || {LINE} ELSE '' END AS segment
         FROM conversations
-        JOIN (SELECT conv_id AS c, max(turn) AS last FROM conversations GROUP BY conv_id) ON c = conv_id
-        GROUP BY conv_id, floor(turn / 512), last""",
+        JOIN (SELECT conv_id AS c, max(turn) AS last FROM conversations GROUP BY conv_id) ON c = conv_id""",
+    "many_directories": query(
+        """SELECT id, count(*) AS n_copies
+           FROM (SELECT id FROM cleaned UNION ALL SELECT id FROM final) GROUP BY id""",
+        "final",
+    ),
+    "sample_or_empty": """
+        SELECT doc_id, text, lang, true AS found FROM documents ORDER BY doc_id LIMIT 500""",
+    "sft_dropped": query(
+        """SELECT count(*) AS n_examples,
+                  count(*) FILTER (nullif(target_text, '') IS NULL) AS n_without_target
+           FROM examples""",
+        "examples",
+    ),
 }
+ORACLES["stored_flow"] = ORACLES["stage_flow"]
+ORACLES["report_file"] = ORACLES["analysis_report"]

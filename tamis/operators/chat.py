@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The roles that are rendered, and the end-of-text token.
+from tamis.sources.staging import stage_table
+
+# The roles that are rendered, the end-of-text token, and the assistant's opening.
 ROLES = ("user", "system", "assistant")
 EOS = "</s>"
-
-TURNS_PER_PART = 512
+OPENING = "<|assistant|>\n"
 
 
 def segment(role: Column, text: Column, eos: str = EOS) -> Column:
@@ -20,31 +21,20 @@ def segment(role: Column, text: Column, eos: str = EOS) -> Column:
     return F.when(role.isin(*ROLES), body).otherwise("")
 
 
-def chat_render(
-    messages: DataFrame,
-    add_generation_prompt: bool = False,
-    eos: str = EOS,
-    turns_per_part: int = TURNS_PER_PART,
-) -> DataFrame:
-    """``conv_id, part, n_messages, text``.
+def chat_render(messages: DataFrame, add_generation_prompt: bool = False, eos: str = EOS) -> DataFrame:
+    """``(conv_id, turn, segment)``, one row per message: the conversation's text in order.
 
-    ``turn`` numbers the messages of a conversation. One of up to
-    ``turns_per_part`` turns is one row (part 0). A longer one continues in
-    further parts, to be read in order: nothing is left out, and no task ever
-    holds a whole conversation of unknown length.
+    Read by ``turn`` (null first), equal turns by segment, the segments make up the text of a
+    conversation, whatever its length; no task holds a whole one. With
+    ``add_generation_prompt`` the assistant's opening is appended to the last segment in that
+    order (to each of them, if that row is repeated).
     """
-    part = F.floor(F.col("turn") / turns_per_part).cast("bigint")
-    rendered = messages.select(
-        "conv_id", part.alias("part"), "turn", segment(F.col("role"), F.col("text"), eos).alias("seg")
-    )
-    parts = rendered.groupBy("conv_id", "part").agg(
-        F.count(F.lit(1)).alias("n_messages"),
-        F.array_sort(F.collect_list(F.struct("turn", "seg"))).alias("segs"),
-    )
-    text = F.array_join(F.col("segs.seg"), "")
-    if add_generation_prompt:
-        last = messages.groupBy("conv_id").agg(F.max(part).alias("last_part"))
-        parts = parts.join(last, "conv_id")
-        suffix = F.when(F.col("part") == F.col("last_part"), "<|assistant|>\n").otherwise("")
-        text = F.concat(text, suffix)
-    return parts.select("conv_id", "part", "n_messages", text.alias("text"))
+    rendered = messages.select("conv_id", "turn", segment(F.col("role"), F.col("text"), eos).alias("segment"))
+    if not add_generation_prompt:
+        return rendered
+    place = F.struct(F.col("turn").isNotNull().alias("known"), "turn", "segment")
+    last = rendered.groupBy(F.col("conv_id").alias("_conv")).agg(F.max(place).alias("_last"))
+    last = stage_table(last, "last-turns")  # stored, so that the join can split a long conversation
+    joined = rendered.join(last, F.col("conv_id").eqNullSafe(F.col("_conv")))
+    opened = F.when(place.eqNullSafe(F.col("_last")), F.concat("segment", F.lit(OPENING))).otherwise(F.col("segment"))
+    return joined.select("conv_id", "turn", opened.alias("segment"))

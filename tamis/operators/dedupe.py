@@ -41,15 +41,36 @@ def keep_smallest(df: DataFrame, keys: list[str | Column], columns: list[str]) -
     return grouped.select("_kept.*")
 
 
-def dedupe_signature(records: DataFrame) -> DataFrame:
-    """Keep the record with the smallest ``id`` of every five-value signature.
+def keep_signed(signed: DataFrame, payload: list[str]) -> DataFrame:
+    """``payload`` of the record with the smallest leading column of every signature.
 
-    A record without tokens has no signature and is always kept.
+    ``signed`` comes from ``with_signature``. Only the payload is shuffled, so a caller that
+    needs an id or a length should not pass the text. A record without tokens has no signature
+    and is always kept.
     """
-    lone = F.when(F.col(SIGNATURE[0]).isNull(), F.col("id"))
+    lone = F.when(F.col(SIGNATURE[0]).isNull(), F.col(payload[0]))
+    return keep_smallest(signed, [*SIGNATURE, lone.alias("_lone")], payload)
+
+
+def dedupe_signature(records: DataFrame) -> DataFrame:
+    """Keep the record with the smallest ``id`` of every five-value signature."""
     columns = ["id"] + [c for c in records.columns if c != "id"]
-    kept = keep_smallest(with_signature(records), [*SIGNATURE, lone.alias("_lone")], columns)
-    return kept.select(*records.columns)
+    return keep_signed(with_signature(records), columns).select(*records.columns)
+
+
+def dedupe_lengths(records: DataFrame) -> DataFrame:
+    """``id, text_length, token_count`` of the records that ``dedupe_signature`` keeps."""
+    tokens = tokenize(F.col("main_text"))
+    signed = with_signature(records, tokens).withColumns({
+        "text_length": F.length("main_text"),
+        "token_count": F.size(tokens),
+    })
+    return keep_signed(signed, ["id", "text_length", "token_count"])
+
+
+def dedupe_ids(records: DataFrame) -> DataFrame:
+    """``id`` of the records that ``dedupe_signature`` keeps."""
+    return keep_signed(with_signature(records), ["id"])
 
 
 def hashing_tf(records: DataFrame, buckets: int = TERM_BUCKETS) -> DataFrame:

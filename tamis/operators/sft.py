@@ -65,6 +65,14 @@ def sft_text(examples: DataFrame, dropped: Observation | None = None) -> DataFra
     )
 
 
+def count_without_target(examples: DataFrame) -> DataFrame:
+    """One row: all examples, and those without a target, which ``sft_text`` drops."""
+    return examples.agg(
+        F.count(F.lit(1)).alias("n_examples"),
+        F.count_if(F.col("target_text").isNull()).alias("n_without_target"),
+    )
+
+
 def split_cut(df: DataFrame, key: str, test_size: float, seed: int) -> DataFrame:
     """One row ``(hash, key)``: the last test row in the order of ``(md5(seed:key), key)``.
 

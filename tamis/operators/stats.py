@@ -2,7 +2,8 @@
 
 Everything is first reduced by a hash aggregate with map-side combine; what
 follows works on a token table cut to its top rows or on the table of distinct
-document lengths, which the longest document bounds.
+document lengths, which the longest document bounds. The figures on lengths take
+``lengths(id, text_length, token_count)``, so that no text is moved for them.
 """
 
 from __future__ import annotations
@@ -19,15 +20,12 @@ TOP_NGRAMS = 10
 HISTOGRAM_BINS = 50
 
 
-def corpus_stats(final: DataFrame) -> DataFrame:
-    return final.agg(
-        F.count("id").alias("total_records"),
-        F.avg(F.length("main_text")).alias("mean_text_length"),
-    )
+def corpus_stats(lengths: DataFrame) -> DataFrame:
+    return lengths.agg(F.count("id").alias("total_records"), F.avg("text_length").alias("mean_text_length"))
 
 
-def length_metrics(final: DataFrame) -> DataFrame:
-    return doc_lengths(final).agg(
+def length_metrics(lengths: DataFrame) -> DataFrame:
+    return lengths.agg(
         F.count(F.lit(1)).alias("n_records"),
         F.avg("token_count").alias("mean_token_count"),
         F.avg("text_length").alias("mean_text_length"),
@@ -50,17 +48,17 @@ def top_ngrams(
     return top_values(ngrams(final, "tokens", n, stop_words), "ngram", k)
 
 
-def length_counts(final: DataFrame) -> DataFrame:
+def length_counts(lengths: DataFrame) -> DataFrame:
     """Documents per token count: one row per distinct length."""
-    return final.groupBy(F.size("tokens").alias("token_count")).agg(F.count(F.lit(1)).alias("n"))
+    return lengths.groupBy("token_count").agg(F.count(F.lit(1)).alias("n"))
 
 
-def token_histogram(final: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
+def token_histogram(lengths: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width histogram of the token counts, with the count's logarithm.
 
     The largest value belongs to the last bin; equal extremes give bin 0.
     """
-    counts = length_counts(final)
+    counts = length_counts(lengths)
     bounds = counts.agg(
         F.struct(F.min("token_count").alias("lo"), F.max("token_count").alias("hi"))
     ).scalar()
@@ -81,14 +79,14 @@ def token_histogram(final: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     )
 
 
-def token_box_stats(final: DataFrame) -> DataFrame:
+def token_box_stats(lengths: DataFrame) -> DataFrame:
     """Quartiles, whiskers, outliers and axis cap of the token counts.
 
     Exact percentiles with linear interpolation, taken over the table of
     distinct lengths with their counts as weights. A whisker is the outermost
     value within one and a half interquartile ranges of the box.
     """
-    counts = length_counts(final)
+    counts = length_counts(lengths)
     marks = F.percentile(
         "token_count", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75), F.lit(0.99)), F.col("n")
     )
@@ -121,7 +119,7 @@ def analysis_report(final: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
     ordered = F.transform(
         F.array_sort("top"), lambda row: F.struct(row["token"].alias("token"), row["n"].alias("count"))
     )
-    return corpus_stats(final).select(
+    return corpus_stats(doc_lengths(final)).select(
         "total_records",
         F.round("mean_text_length", 2).alias("mean_text_length"),
         top.select(ordered).scalar().alias("top_tokens"),

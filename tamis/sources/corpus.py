@@ -10,9 +10,8 @@ from pyspark.sql import types as T
 
 RAW_COLUMNS = ("id", "title", "content", "contents", "PMID")
 
-# Most rows shown in a table, and most rows loaded for a dashboard.
+# Fixed value: most rows shown in a table.
 TABLE_ROWS = 500
-DASHBOARD_ROWS = 50_000
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -27,17 +26,7 @@ def read_corpus(
 ) -> DataFrame:
     """Read one parquet directory or several as one scan."""
     paths = [path] if isinstance(path, str) else list(path)
-    return spread(require_columns(spark.read.parquet(*paths), columns), columns[0])
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on an input that is read by fewer tasks than there are cores.
-
-    That is an input of a few small files or large row groups; anything bigger is
-    returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return require_columns(spark.read.parquet(*paths), columns)
 
 
 def write_stage(df: DataFrame, path: str) -> None:
@@ -56,10 +45,15 @@ def load_sample(
     limit: int = TABLE_ROWS,
     key: str = "id",
 ) -> DataFrame:
-    """A sample for display; an empty frame when the path cannot be read."""
+    """A sample for display; an empty frame when there is nothing at the path.
+
+    Any other fault, such as a missing column, is an error.
+    """
     try:
         return first_rows(read_corpus(spark, path, columns), columns, limit, key)
-    except (AnalysisException, ValueError):
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         schema = T.StructType([
             T.StructField(c, T.ArrayType(T.StringType()) if c == "tokens" else T.StringType())
             for c in columns

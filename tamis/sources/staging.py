@@ -16,9 +16,9 @@ def staging_root(spark: SparkSession) -> str:
     its machine, so there the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
     context = spark.sparkContext
+    if named:
+        return shared_folder(named, context.master)
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
@@ -26,6 +26,23 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def shared_folder(path: str, master: str) -> str:
+    """``path``, unless it lies on one machine of a cluster.
+
+    A folder without a scheme is taken as the cluster's default file system has it. ``file:``
+    is accepted for a master that runs all its executors on one machine only.
+    """
+    one_machine = master.startswith("local")  # local[n] and local-cluster[n,c,m]
+    if path.startswith("file:") and not one_machine:
+        raise RuntimeError(f"spark.checkpoint.dir names a folder of one machine: {path}")
+    return path.rstrip("/")
+
+
+def owned_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder of this application, below the staging folder."""
+    return f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the staging folder and return it as a scan of what was written.
 
@@ -34,7 +51,6 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     Tables lie in one folder per application, to be removed with it.
     """
     spark = df.sparkSession
-    owner = spark.sparkContext.applicationId
-    path = f"{staging_root(spark)}/{owner}/{name}-{uuid.uuid4().hex}"
+    path = owned_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

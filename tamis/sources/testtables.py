@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.sources.corpus import spread
-
 
 def documents_as_raw(documents: DataFrame) -> DataFrame:
     """``documents`` as raw records, with noise for the cleaning steps.
@@ -36,8 +34,8 @@ def documents_as_raw(documents: DataFrame) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return documents_as_raw(spread(documents.select("doc_id", "text"), "doc_id"))
+    return documents_as_raw(documents.select("doc_id", "text"))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/conversations.parquet"), "conv_id", "turn")
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
