@@ -28,6 +28,31 @@ def band_coefficients(n: int) -> tuple[list[int], list[int]]:
     return first, second
 
 
+def java_random_pairs(seed: int, bound: int, n: int) -> list[tuple[int, int]]:
+    """``n`` pairs (1 + nextInt, nextInt) of Java's seeded generator: Spark ML's MinHash coefficients."""
+    state = (seed ^ 0x5DEECE66D) & ((1 << 48) - 1)
+
+    def next_int() -> int:
+        nonlocal state
+        while True:
+            state = (state * 0x5DEECE66D + 0xB) & ((1 << 48) - 1)
+            bits = state >> 17
+            if bits - bits % bound + bound - 1 < 1 << 31:
+                return bits % bound
+
+    return [(1 + next_int(), next_int()) for _ in range(n)]
+
+
+def rotated(x: str, bits: int) -> str:
+    return f"(({x} * {1 << bits}) % 4294967296 + {x} // {1 << (32 - bits)})"
+
+
+def mixed_word(k: str) -> str:
+    """A four-byte word as murmur3 (32 bits) adds it to its state."""
+    return f"({rotated(f'(({k}) * 3432918353 % 4294967296)', 15)} * 461845907 % 4294967296)"
+
+
+ML_PAIRS = java_random_pairs(42, 2038074742, 5)
 BAND_A, BAND_B = band_coefficients(100)
 SIGNATURE = "m0, m1, m2, m3, m4"
 
@@ -110,6 +135,37 @@ CTES = {
         FROM final""",
     "training": """
         SELECT id, input_text || target_text AS text FROM examples WHERE target_text IS NOT NULL""",
+    # Spark ML's hashed term frequencies: murmur3 with seed 42 modulo 2^16
+    "token_bytes": """
+        SELECT token, list_transform(range(0, n), lambda i:
+                   CAST('0x' || digits[2 * i + 1 : 2 * i + 2] AS UBIGINT)) AS byte, CAST(n AS UBIGINT) AS n
+        FROM (SELECT token, hex(encode(token)) AS digits, strlen(token) AS n
+              FROM (SELECT DISTINCT unnest(tokens) AS token FROM worded))""",
+    "token_body": f"""
+        SELECT token, byte, n, list_reduce(
+                   list_prepend(CAST(42 AS UBIGINT), list_transform(range(0, CAST(n // 4 AS BIGINT)), lambda i:
+                       byte[4 * i + 1] + 256 * byte[4 * i + 2] + 65536 * byte[4 * i + 3]
+                       + 16777216 * byte[4 * i + 4])),
+                   lambda h, k: ({rotated(f"xor(h, {mixed_word('k')})", 13)} * 5 + 3864292196) % 4294967296) AS h
+        FROM token_bytes""",
+    "token_tail": f"""
+        SELECT token, xor(CASE WHEN n % 4 = 0 THEN h ELSE xor(h, {mixed_word('k')}) END, n) AS h
+        FROM (SELECT token, n, h, coalesce(byte[whole + 1], 0) + 256 * coalesce(byte[whole + 2], 0)
+                     + 65536 * coalesce(byte[whole + 3], 0) AS k
+              FROM (SELECT *, CAST(n - n % 4 AS BIGINT) AS whole FROM token_body))""",
+    "token_buckets": """
+        SELECT token, xor(h2, h2 // 65536) % 65536 AS bucket
+        FROM (SELECT token, xor(h1, h1 // 8192) * 3266489909 % 4294967296 AS h2
+              FROM (SELECT token, xor(h, h // 65536) * 2246822507 % 4294967296 AS h1 FROM token_tail))""",
+    "bucketed": """
+        SELECT w.id, list(DISTINCT CAST(bucket AS BIGINT)) AS buckets, count(*) AS total_tf
+        FROM (SELECT id, unnest(tokens) AS token FROM worded) w JOIN token_buckets USING (token)
+        GROUP BY w.id""",
+    "ml_signed": f"""
+        SELECT id, {", ".join(
+            f"list_min(list_transform(buckets, lambda i: ((1 + i) * {a} + {b}) % 2038074743)) AS m{k}"
+            for k, (a, b) in enumerate(ML_PAIRS))}
+        FROM worded LEFT JOIN bucketed USING (id) WHERE tokens IS NOT NULL""",
     # near-duplicates: the leaders of 20 bands of five minima, verified exactly
     "minima": f"""
         SELECT id, tokens, list_transform(range(1, 101), lambda i: list_min(list_transform(hashes,
@@ -142,12 +198,14 @@ NEEDS = {
     "cleaned": ["kept"], "worded": ["cleaned"], "hashed": ["worded"], "signed": ["hashed"],
     "ranked": ["signed"], "final": ["ranked"], "counts": ["cleaned", "final"],
     "lengths": ["final"], "words": ["final"], "word_counts": ["words"],
-    "examples": ["final"], "training": ["examples"], "minima": ["hashed"], "banded": ["minima"],
+    "examples": ["final"], "training": ["examples"], "token_bytes": ["worded"],
+    "token_body": ["token_bytes"], "token_tail": ["token_body"], "token_buckets": ["token_tail"],
+    "bucketed": ["worded", "token_buckets"], "ml_signed": ["worded", "bucketed"], "minima": ["hashed"], "banded": ["minima"],
     "led": ["banded"], "alike": ["led", "minima"],
     "edges": ["alike"], "reached": ["cleaned", "edges"], "clusters": ["reached"],
 }
 
-STORED = {"worded", "final", "minima", "banded", "alike", "edges"}
+STORED = {"worded", "final", "token_bytes", "token_body", "token_buckets", "ml_signed", "minima", "banded", "alike", "edges"}
 
 
 def query(select: str, *sources: str) -> str:
@@ -215,6 +273,17 @@ ORACLES = {
         "cleaned",
     ),
     "doc_lengths": query("SELECT * FROM lengths", "lengths"),
+    "hashing_tf": query(
+        """SELECT id, CAST(coalesce(len(buckets), 0) AS INTEGER) AS n_buckets,
+                  coalesce(total_tf, 0) AS total_tf
+           FROM worded LEFT JOIN bucketed USING (id) WHERE tokens IS NOT NULL""",
+        "bucketed",
+    ),
+    "minhash_ml": query(f"SELECT id, {SIGNATURE} FROM ml_signed", "ml_signed"),
+    "dedupe_signature_ml": query(
+        f"SELECT min(id) AS id FROM ml_signed GROUP BY {SIGNATURE}, CASE WHEN m0 IS NULL THEN id END",
+        "ml_signed",
+    ),
     "minhash_signature": query(f"SELECT id, {SIGNATURE} FROM signed", "signed"),
     "dedupe_signature": query("SELECT id, title, PMID, main_text FROM final", "final"),
     "near_dup_pairs": query(
