@@ -16,6 +16,7 @@ def spark():
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.files.minPartitionNum", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

@@ -30,13 +30,60 @@ def test_no_python_and_no_cross_join(spark, name):
         assert word not in text
 
 
-@pytest.mark.parametrize("name", ["clean_stage", "tokenize_final", "minhash_signature", "sft_format"])
-def test_narrow_operators_do_not_shuffle(spark, name, tmp_path):
-    """Apart from spreading a tiny input, and apart from the deduplication."""
+@pytest.mark.parametrize("name", ["clean_stage", "tokenize_final", "minhash_signature", "scan_corpus"])
+def test_narrow_operators_do_not_shuffle(spark, name):
+    assert "Exchange" not in plan(entry.queries()[name](spark, SF))
+
+
+LENGTH_QUERIES = ["doc_lengths", "corpus_stats", "length_metrics", "token_histogram", "token_box_stats"]
+
+
+@pytest.mark.parametrize("name", LENGTH_QUERIES)
+def test_lengths_move_no_text(spark, name):
     text = plan(entry.queries()[name](spark, SF))
-    shuffles = re.findall(r"hashpartitioning\([^)]*\), (\w+)", text)
-    wanted = {"sft_format": ["REPARTITION_BY_NUM", "ENSURE_REQUIREMENTS"]}
-    assert sorted(set(shuffles)) == sorted(wanted.get(name, ["REPARTITION_BY_NUM"]))
+    below = [part.split("\n\n")[0] for part in text.split("Exchange\n")[1:]]
+    assert below and not any("main_text" in part for part in below)
+    assert not re.search(r"partial_min\(struct\([^)]*main_text", text)
+
+
+def test_split_moves_ids_only(spark, monkeypatch):
+    plans = []
+    stage = entry.stage_table
+    monkeypatch.setattr(entry, "stage_table", lambda df, name: (plans.append(plan(df)), stage(df, name))[1])
+    entry.queries()["sft_split"](spark, SF)
+    assert plans and not any(re.search(r"partial_min\(struct\([^)]*main_text", text) for text in plans)
+
+
+def test_a_hub_is_split(spark, monkeypatch):
+    """The joins of large-star and small-star split the edges of one node that has most of them."""
+    low = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    ran = {}
+    stage = clusters.stage_table
+
+    def recording(df, name):
+        df.foreach(lambda row: None)
+        ran[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(clusters, "stage_table", recording)
+    try:
+        hub = spark.range(1, 60_000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+        rest = spark.range(100_000, 104_000, 2).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+        clusters.connected_components(hub.union(rest))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert any("skew=true" in text for name, text in ran.items() if name.startswith("large-star"))
 
 
 @pytest.mark.parametrize("name", ["top_tokens", "top_bigrams"])
@@ -83,13 +130,6 @@ def test_search_has_no_cross_join(spark, monkeypatch):
             assert word not in text
 
 
-def test_pivots_are_cut_before_the_shuffle(spark):
-    members = spark.createDataFrame([(1, "a", 3)], "bucket bigint, rep string, n int")
-    tree = plan(similar.smallest(members, 4)).split("(1) ")[0]
-    above, below = tree.split("Exchange")
-    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
-
-
 def test_narrow_operators_run_on_a_stream(spark, tmp_path):
     """The narrow operators are plain expressions, so a streaming input works as it is."""
     source = str(tmp_path / "raw")

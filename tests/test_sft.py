@@ -72,22 +72,41 @@ MESSAGES = [
 ]
 
 
+CHAT = "conv_id bigint, turn bigint, role string, text string"
+
+
+def joined(rows):
+    """Conversations put together in the documented order."""
+    texts = {}
+    for r in sorted(rows, key=lambda r: (r.turn is not None, r.turn or 0, r.segment)):
+        texts[r.conv_id] = texts.get(r.conv_id, "") + r.segment
+    return texts
+
+
 def test_chat(spark):
-    df = spark.createDataFrame(MESSAGES, "conv_id bigint, turn bigint, role string, text string")
-    plain = {r.conv_id: r.text for r in chat.chat_render(df).collect()}
+    df = spark.createDataFrame(MESSAGES, CHAT)
+    plain = joined(chat.chat_render(df).collect())
     assert plain == {
         1: "<|system|>\nbe kind</s>\n<|user|>\nhow?</s>\n<|assistant|>\nfine</s>\n",
         2: "<|user|>\nx</s>\n",
         3: "",
     }
-    asked = {r.conv_id: r.text for r in chat.chat_render(df, add_generation_prompt=True).collect()}
+    asked = joined(chat.chat_render(df, add_generation_prompt=True).collect())
     assert asked == {c: t + "<|assistant|>\n" for c, t in plain.items()}
 
 
-def test_a_very_long_conversation_comes_in_parts(spark):
-    messages = [(1, t, "user", str(t)) for t in range(10)]
-    df = spark.createDataFrame(messages, "conv_id bigint, turn bigint, role string, text string")
-    parts = chat.chat_render(df, add_generation_prompt=True, turns_per_part=4).orderBy("part").collect()
-    assert [r.n_messages for r in parts] == [4, 4, 2]
-    whole = chat.chat_render(df, add_generation_prompt=True).first().text
-    assert "".join(r.text for r in parts) == whole
+@pytest.mark.parametrize(("first", "n"), [(0, 2000), (1000, 30)])
+def test_chat_is_the_same_for_every_length(spark, first, n):
+    messages = [(1, first + t, "user", str(t)) for t in range(n)]
+    rows = chat.chat_render(spark.createDataFrame(messages, CHAT), add_generation_prompt=True).collect()
+    assert len(rows) == n
+    assert joined(rows) == {1: "".join(f"<|user|>\n{t}</s>\n" for t in range(n)) + "<|assistant|>\n"}
+
+
+def test_chat_with_ties_and_null_turns(spark):
+    messages = [(1, None, "user", "a"), (1, None, "user", "b"), (None, 3, "user", "c"), (None, 3, "user", "d")]
+    rows = chat.chat_render(spark.createDataFrame(messages, CHAT), add_generation_prompt=True).collect()
+    assert joined(rows) == {
+        1: "<|user|>\na</s>\n<|user|>\nb</s>\n<|assistant|>\n",
+        None: "<|user|>\nc</s>\n<|user|>\nd</s>\n<|assistant|>\n",
+    }

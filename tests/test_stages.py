@@ -87,3 +87,21 @@ def test_staging_uses_the_named_folder(spark):
     stored = staging.stage_table(spark.range(5), "numbers")
     assert all(f.removeprefix("file://").startswith(root) for f in stored.inputFiles())
     assert stored.count() == 5
+
+
+def test_a_missing_column_is_not_an_empty_sample(spark, finished):
+    _, layout = finished
+    with pytest.raises(ValueError, match="nothing"):
+        corpus.load_sample(spark, layout.final, ["id", "nothing"])
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="one machine"):
+        staging.shared_folder("file:///tmp/run", "spark://head:7077")
+    assert staging.shared_folder("hdfs://head/run/", "yarn") == "hdfs://head/run"
+    assert staging.shared_folder("file:///tmp/run", "local[4]") == "file:///tmp/run"
+
+
+def test_all_stored_tables_lie_in_the_folder_of_the_application(spark):
+    owned = staging.owned_folder(spark, "x")
+    assert owned.startswith(f"{staging.staging_root(spark)}/{spark.sparkContext.applicationId}/x-")

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from tamis.operators import reports, stats
+from tamis.operators import finalize, reports, stats
 
 FINAL = "id string, main_text string, tokens array<string>"
 LENGTHS = [3, 3, 4, 5, 6, 7, 8, 9, 10, 60]
@@ -23,17 +23,17 @@ def test_equal_counts_are_ordered_by_key(spark):
 
 
 def test_global_figures(final):
-    assert tuple(stats.corpus_stats(final).first()) == (10, np.mean(LENGTHS))
-    assert tuple(stats.length_metrics(final).first()) == (10, np.mean(LENGTHS), np.mean(LENGTHS))
+    assert tuple(stats.corpus_stats(finalize.doc_lengths(final)).first()) == (10, np.mean(LENGTHS))
+    assert tuple(stats.length_metrics(finalize.doc_lengths(final)).first()) == (10, np.mean(LENGTHS), np.mean(LENGTHS))
 
 
 def test_null_ids_are_not_counted(spark):
     df = spark.createDataFrame([(None, "abc", ["abc"]), ("1", "a", ["a"])], FINAL)
-    assert tuple(stats.corpus_stats(df).first()) == (1, 2.0)
+    assert tuple(stats.corpus_stats(finalize.doc_lengths(df)).first()) == (1, 2.0)
 
 
 def test_histogram(final):
-    rows = {r.bin: r for r in stats.token_histogram(final).collect()}
+    rows = {r.bin: r for r in stats.token_histogram(finalize.doc_lengths(final)).collect()}
     wanted, edges = np.histogram(LENGTHS, bins=50)
     assert {b: r.n_docs for b, r in rows.items()} == {i: n for i, n in enumerate(wanted) if n}
     for b, r in rows.items():
@@ -43,11 +43,11 @@ def test_histogram(final):
 
 def test_histogram_of_one_length(spark):
     df = spark.createDataFrame([("1", "", ["a"]), ("2", "", ["b"])], FINAL)
-    assert [(r.bin, r.n_docs) for r in stats.token_histogram(df).collect()] == [(0, 2)]
+    assert [(r.bin, r.n_docs) for r in stats.token_histogram(finalize.doc_lengths(df)).collect()] == [(0, 2)]
 
 
 def test_box(final):
-    box = stats.token_box_stats(final).first()
+    box = stats.token_box_stats(finalize.doc_lengths(final)).first()
     q1, q2, q3, p99 = np.percentile(LENGTHS, [25, 50, 75, 99])
     assert (box.q1, box.median, box.q3) == (q1, q2, q3)
     assert box.p99 == pytest.approx(p99) and box.axis_cap == pytest.approx(1.5 * p99)
