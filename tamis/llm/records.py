@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import json
 import struct
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -65,62 +67,73 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
 
 
+class _Memo(dict):
+    """Remembers what ``make`` gives, up to a number of entries."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value
+
+
 class Encoder:
     """Whole texts to ids, as the tokenizer gives them.
 
     Where the tokenizer lower-cases, splits into words and encodes each word on its own, the
-    ids of a word are kept for its next occurrence. That path takes texts of Latin letters
-    and printable ASCII without markers of special tokens; all others go to the tokenizer whole.
+    ids of a word, and of a run of words without white space, are kept for their next
+    occurrence. That path takes texts of Latin letters and printable ASCII without markers
+    of special tokens; all others go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.cache: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        suffix = spec["model"].get("end_of_word_suffix")
         split = (spec["pre_tokenizer"].get("pretokenizers") or [{}])[0]
         steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
-        self.words = None
-        if suffix and split.get("invert") and split.get("behavior") == "Removed" and steps == ["NFC", "Replace", "Lowercase"]:
-            self.words = regex.compile(split["pattern"]["Regex"]).findall
-            ends = [k for w, k in self.tokenizer.get_vocab().items() if w.endswith(suffix)]
-            self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
-            self.last[ends] = True
+        self.split = None
+        if split.get("invert") and split.get("behavior") == "Removed" and steps == ["NFC", "Replace", "Lowercase"]:
+            self.split = regex.compile(split["pattern"]["Regex"]).findall
             self.plain = regex.compile(r"[\t\n\r\x20-\x7E\xA1-\xAC\xAE-ɏ]*").fullmatch
+            self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            self.words = _Memo(self._word, CACHED_WORDS)
+            self.runs = _Memo(lambda run: b"".join(map(self.words.__getitem__, self.split(run))), CACHED_WORDS // 2)
 
-    def learn(self, words: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids)
-        cuts = np.flatnonzero(self.last[ids]) + 1 if len(ids) else []
-        if len(cuts) == len(words):
-            parts = np.split(ids.astype(self.kind), cuts[:-1])
-        else:
-            parts = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, self.kind) for w in words]
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-        self.cache.update((w, p.tobytes()) for w, p in zip(words, parts, strict=True))
+    def _word(self, word: str) -> bytes:
+        coded = word if word.isascii() else self.as_bytes(word)[0][0]
+        return np.array([t.id for t in self.model.tokenize(coded)], self.kind).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.words is None or "<|" in text or not self.plain(text):
+        if self.split is None or "<|" in text or not self.plain(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        words = self.words(text.lower())
-        fresh = [w for w in set(words) if w not in self.cache]
-        if fresh:
-            self.learn(fresh)
-            if not all(w in self.cache for w in words):
-                self.learn(list(set(words)))
-        return b"".join(map(self.cache.__getitem__, words))
+        return b"".join(map(self.runs.__getitem__, text.lower().split()))
+
+
+def kept(name: str, make):
+    """What ``make`` gives, once per Python worker: workers are used for task after task."""
+    worker = sys.modules.setdefault("tamis_llm_worker", types.ModuleType("tamis_llm_worker"))
+    if not hasattr(worker, name):
+        setattr(worker, name, make())
+    return getattr(worker, name)
 
 
 def _writer(tokenizer: str, folder: str, key: str, text: str, end_id: int, file_bytes: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = file_system(folder)
-        encoder, task = Encoder(tokenizer), TaskContext.get()
+        encoder = kept(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
+        task = TaskContext.get()
         end = np.array([end_id], encoder.kind).tobytes()
         part, seq, body, index, done = task.partitionId(), 0, None, [], []
         size = tokens = 0
