@@ -8,28 +8,49 @@ and a task holds the answers to its own questions only.
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.llm.records import file_system
-from tamis.sources.staging import staging_root
+from tamis.sources.staging import owned_folder, stage_table
 
+#: Names of helper columns beside those of a table of any columns.
+ROW, BLOCK = "__row", "__block"
 
-def with_block(table: DataFrame) -> DataFrame:
-    """``table``, a scan of files, with the long ``block`` of each row.
 
-    Both scans must be of the same files in the same session, which cuts them alike.
+def with_block(table: DataFrame, name: str = "block") -> DataFrame:
+    """``table``, a scan of files, with the block of each row as the long column ``name``.
+
+    Both scans must be of the same files in the same session, which cuts them alike. Rows that
+    come from no file, as behind a shuffle, are an error.
     """
-    return table.withColumn("block", F.xxhash64(F.input_file_name(), F.input_file_block_start()))
+    place = F.xxhash64(F.input_file_name(), F.input_file_block_start())
+    fault = F.raise_error(F.lit("a scan of files is needed here; store the table first")).cast("long")
+    return table.withColumn(name, F.when(F.input_file_name() != "", place).otherwise(fault))
+
+
+def scanned(table: DataFrame) -> DataFrame:
+    """``table`` if it reads files, else the table stored."""
+    return table if table.inputFiles() else stage_table(table, "scanned")
+
+
+def by_block(batches: Iterator[pa.RecordBatch], name: str = "block") -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Batches cut where the block changes."""
+    for batch in batches:
+        blocks = batch[name].to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)])).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a < b:
+                yield int(blocks[a]), batch.slice(a, b - a)
 
 
 def write_by_block(answers: DataFrame) -> str:
     """Write ``answers`` under their ``block`` and return the folder."""
-    spark = answers.sparkSession
-    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/by-block-{uuid.uuid4().hex}"
+    path = owned_folder(answers.sparkSession, "by-block")
     answers.repartition("block").write.partitionBy("block").parquet(path)
     return path
 
@@ -47,3 +68,35 @@ def read_block(path: str, block: int) -> pa.Table | None:
             with store.open_input_file(info.path) as file:
                 parts.append(pq.ParquetFile(file).read())
     return pa.concat_tables(parts) if parts else None
+
+
+def _filter(path: str, columns: list[str]):
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, dropped, once = None, np.zeros(0, np.int64), set()
+        for key, part in by_block(batches, BLOCK):
+            if key != block:
+                block, table = key, read_block(path, key)
+                flags = table["once"].to_numpy() if table is not None else np.zeros(0, bool)
+                rows = table["row"].to_numpy() if table is not None else dropped[:0]
+                dropped, once = rows[~flags], set(rows[flags].tolist())
+                spent: set[int] = set()
+            rows = part[ROW].to_numpy()
+            keep = ~np.isin(rows, dropped)
+            for i, row in enumerate(rows.tolist()) if once else ():
+                if row in once:
+                    keep[i] = row not in spent
+                    spent.add(row)
+            yield part.filter(pa.array(keep)).select(columns)
+
+    return sift
+
+
+def without_rows(docs: DataFrame, key: str, text: str, decided: DataFrame) -> DataFrame:
+    """``docs``, a scan of files, without the rows ``decided(block, row, once)``.
+
+    ``row`` is the hash of key and text; where ``once`` is set, the first of the block's rows
+    of that hash stays. Texts are filtered where they are read.
+    """
+    path = write_by_block(decided.select("block", "row", "once"))
+    marked = with_block(docs.select("*", F.xxhash64(key, text).alias(ROW)), BLOCK)
+    return marked.mapInArrow(_filter(path, docs.columns), docs.schema)

@@ -27,7 +27,7 @@ def op2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return set_join.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("row")
+    return set_join.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("row", "block")
 
 
 def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return kneser.score(docs, _table(spark, sf_dir, "labels")).drop("row")
+    return kneser.score(docs, _table(spark, sf_dir, "labels")).drop("row", "block")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.sources.staging import stage_table, staging_root
+from tamis.sources.staging import owned_folder, stage_table
 
 END_ID = 2
 FILE_BYTES = 64 << 20
@@ -181,7 +181,7 @@ def write_records(
     Other columns are ignored. Files are cut at about ``file_bytes``.
     """
     spark = docs.sparkSession
-    folder = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/records-{uuid.uuid4().hex}"
+    folder = owned_folder(spark, "records")
     store, base = file_system(folder)
     store.create_dir(base, recursive=True)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))

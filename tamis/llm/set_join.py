@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamis.llm.blockwise import by_block, read_block, scanned, with_block, without_rows, write_by_block
 from tamis.llm.unions import Labels
 from tamis.llm.wording import Shingler
 from tamis.operators.clusters import connected_components
@@ -37,7 +38,7 @@ ALIKE, CLOSE = 38, 58
 #: Rows on one side of a task.
 CHUNK, EXACT_CHUNK = 8192, 2048
 
-SIGNED = "key {kind}, row long, set long, sketch array<int>, short binary"
+SIGNED = "key {kind}, row long, block long, set long, sketch array<int>, short binary"
 
 
 class Sketcher:
@@ -78,7 +79,7 @@ def _signer(words: int):
                     shorts.append(None)
             columns = [pa.array(sets, pa.int64()), pa.array(sketches, pa.list_(pa.int32())), pa.array(shorts, pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch["key"], batch["row"], *columns], names=["key", "row", "set", "sketch", "short"]
+                [batch["key"], batch["row"], batch["block"], *columns], names=["key", "row", "block", "set", "sketch", "short"]
             )
 
     return sign
@@ -246,25 +247,46 @@ def _compare(words: int, threshold: float):
     return compare
 
 
+def _picker(path: str):
+    """The texts of the candidate sets, each once, from the block that is to give it."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["set", "comp", "n", "copies"]
+        block, wanted = None, {}
+        for key, part in by_block(batches):
+            if key != block:
+                block, table = key, read_block(path, key)
+                rows = table.select(["row", *names]).to_pylist() if table is not None else []
+                wanted = {r.pop("row"): r for r in rows}
+            at = np.flatnonzero(np.isin(part["row"].to_numpy(), np.fromiter(wanted, np.int64, len(wanted))))
+            found = [(i, wanted.pop(r)) for i in at.tolist() if (r := part["row"][i].as_py()) in wanted]
+            if found:
+                columns = [pa.array([f[n] for _, f in found], pa.int64()) for n in names]
+                yield pa.RecordBatch.from_arrays([*columns, part["text"].take(pa.array([i for i, _ in found]))], names=[*names, "text"])
+
+    return pick
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD,
     runs: int = RUNS, seed: int = 1,
 ) -> DataFrame:
-    """``(key, row, class_id, n_links)`` for every row of ``docs``.
+    """``(key, row, block, class_id, n_links)`` for every row of ``docs``, a scan of files.
 
     ``n_links`` counts the other rows whose texts have at least ``threshold`` of their shingles
     in common, ``class_id`` is the smallest key reachable by links. Rows of equal shingles are
     one set and compared once; they count with their copies. A null, empty or word-less text
     links with nothing and is its own class; a class of null keys has a null id. ``row`` is a
-    hash of key and text, shared by repeated rows. Other columns are ignored; no documents, no
+    hash of key and text, shared by repeated rows, ``block`` the part of a file it is from. Other columns are ignored; no documents, no
     rows. Links are exact where found; a pair of the threshold's similarity is missed with a
     small probability (see above), identical sets never.
     """
-    rows = docs.select(F.col(key).alias("key"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
+    docs = scanned(docs)
+    rows = with_block(docs.select(F.col(key).alias("key"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text")))
     kind = dict(rows.dtypes)["key"]
     signed = stage_table(rows.mapInArrow(_signer(words), SIGNED.format(kind=kind)), "signed")
     reps = signed.filter("set is not null").groupBy("set").agg(
-        F.min(F.struct("row", "sketch", "short")).alias("r"), F.count(F.lit(1)).alias("copies")
+        F.min(F.struct("row", "block", "sketch", "short")).alias("r"), F.count(F.lit(1)).alias("copies")
     )
     reps = stage_table(reps.select("set", "copies", "r.*"), "sets")
 
@@ -275,8 +297,8 @@ def near_duplicates(
 
     sizes = stage_table(groups.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "candidate-sizes")
     members = groups.join(sizes, "root").select(F.col("node").alias("set"), F.col("root").alias("comp"), "n")
-    members = stage_table(members.join(reps.select("set", "row", "copies"), "set"), "candidate-members")
-    texts = rows.select("row", "text").join(members, "row").groupBy("set", "comp", "n", "copies").agg(F.min("text").alias("text"))
+    path = write_by_block(members.join(reps.select("set", "row", "block", "copies"), "set"))
+    texts = rows.select("row", "block", "text").mapInArrow(_picker(path), "set long, comp long, n long, copies long, text string")
     tasks = tasks_for(stage_table(texts, "candidate-texts"), "comp", "n", "set", EXACT_CHUNK)
     links = tasks.select("task", "side", "comp", "set", "copies", "text").groupBy("task")
     links = stage_table(links.applyInArrow(_compare(words, threshold), "set long, links long, other long"), "links")
@@ -286,12 +308,12 @@ def near_duplicates(
     counts = links.filter("links is not null").groupBy("set").agg(F.sum("links").alias("links"))
     known = reps.select("set", "copies").join(counts, "set", "left").join(roots, "set", "left")
     known = stage_table(known.select("set", "copies", "links", F.coalesce("root", "set").alias("root")), "classes")
-    member = stage_table(signed.select("key", "row", "set").join(known, "set", "left"), "class-members")
+    member = stage_table(signed.select("key", "row", "block", "set").join(known, "set", "left"), "class-members")
     heads = member.filter("root is not null").groupBy("root").agg(F.min("key").alias("head"))
     result = member.join(stage_table(heads, "class-heads"), "root", "left")
     n_links = F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
     return result.select(
-        F.col("key").alias(key), "row", F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("head")).alias("class_id"),
+        F.col("key").alias(key), "row", "block", F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("head")).alias("class_id"),
         n_links.cast("long").alias("n_links"),
     )
 
@@ -299,15 +321,13 @@ def near_duplicates(
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest key; all columns kept.
 
-    Of rows that repeat that key within the class one stays, whichever text sorts first by hash.
+    ``docs`` is a scan of files. Of rows that repeat that key within the class one stays,
+    whichever text sorts first by hash.
     """
-    found = near_duplicates(docs, key, text, **options)
-    linked = found.filter("n_links > 0")
-    heads = linked.filter(F.col(key).eqNullSafe(F.col("class_id"))).groupBy(key, "class_id").agg(F.min("row").alias("row"))
-    heads = stage_table(heads.select("row").distinct(), "kept-rows")
-    linked = stage_table(linked.select("row").distinct(), "linked-rows")
-    keyed = docs.withColumn("__row", F.xxhash64(key, text))
-    named = lambda rows: rows.withColumnRenamed("row", "__row")
-    alone = keyed.join(named(linked), "__row", "left_anti")
-    chosen = keyed.join(named(heads), "__row", "left_semi").dropDuplicates(["__row"])
-    return alone.unionByName(chosen).select(*docs.columns)
+    docs = scanned(docs)
+    found = stage_table(near_duplicates(docs, key, text, **options).filter("n_links > 0"), "linked")
+    place = F.struct("row", "block")
+    heads = found.filter(F.col(key).eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min(place).alias("head"))
+    heads = stage_table(heads.select("head.*").withColumn("once", F.lit(True)), "heads")
+    rows = found.select("block", "row").distinct().join(heads, ["row", "block"], "left")
+    return without_rows(docs, key, text, rows.withColumn("once", F.coalesce("once", F.lit(False))))
