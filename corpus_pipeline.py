@@ -24,8 +24,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents in which a benchmark item occurs."""
-    found = decontaminate.find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.filter("not contaminated").select(*docs.columns)
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,3 +165,9 @@ def find_items(
         .withColumn("spans", to_original(F.when(F.col("contaminated"), F.col(text)), "word_spans"))
         .drop("word_spans")
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the contaminated rows; all its columns are kept, whatever their names."""
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), F.col(text).alias("said"))
+    return find_items(whole, benchmark, "said", **options).filter("not contaminated").select("whole.*")

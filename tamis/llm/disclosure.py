@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamis.llm.blockwise import BLOCK, ROW, by_block, read_block, scanned, with_block, write_by_block
 from tamis.sources.staging import stage_table
 
 #: Words on either side of an entity that are weighed.
@@ -159,7 +160,7 @@ def find_spans(
     docs: DataFrame, key: str = "doc_id", text: str = "text", near: int = NEAR, threshold: float = DISCLOSURE,
     support: int = SUPPORT,
 ) -> DataFrame:
-    """``(key, row, base, terms)`` for every row of ``docs``.
+    """``(key, row, block, base, terms)`` for every row of ``docs``.
 
     ``base`` holds the pattern finds, ``terms`` the disclosing words, both as spans of code
     points ``(start, rank, kind, end)`` in order. ``row`` is a hash of key and text: repeated
@@ -167,38 +168,46 @@ def find_spans(
     with their copies; contexts must differ to count as support, so that copies of one text
     do not make its words risky. Null text is empty; no documents give no rows.
     """
+    docs = scanned(docs)
     keyed = docs.select(F.col(key).alias("key"), F.xxhash64(key, text).alias("row"), F.col(text).alias("text"))
     kind = dict(keyed.dtypes)["key"]
-    found = stage_table(keyed.mapInArrow(_finder("text", near), f"key {kind}, row long, {FOUND}"), "entities")
+    schema = f"key {kind}, row long, block long, {FOUND}"
+    found = stage_table(with_block(keyed).mapInArrow(_finder("text", near), schema), "entities")
     risky = risky_terms(found, docs, text, threshold, support)
     terms = found.select("row", F.explode("near").alias("t")).select("row", "t.entity", "t.term", "t.start", "t.end")
     span = F.struct("start", F.lit(4).alias("rank"), F.lit(KINDS[4]).alias("kind"), "end")
     terms = terms.join(risky, ["entity", "term"]).groupBy("row").agg(F.sort_array(F.collect_set(span)).alias("terms"))
     none = F.array().cast(f"array<{SPAN}>")
-    known = found.select("key", "row", "base").join(stage_table(terms, "disclosing-terms"), "row", "left")
-    return known.withColumn("terms", F.coalesce("terms", none)).select("key", "row", "base", "terms")
+    known = found.select("key", "row", "block", "base").join(stage_table(terms, "disclosing-terms"), "row", "left")
+    return known.withColumn("terms", F.coalesce("terms", none)).select("key", "row", "block", "base", "terms")
+
+
+def _mask(path: str, text: str, columns: list[str]):
+    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, spans = None, {}
+        for key, part in by_block(batches, BLOCK):
+            if key != block:
+                block, table = key, read_block(path, key)
+                spans = {r["row"]: r["spans"] for r in table.to_pylist()} if table is not None else {}
+            out = [_masked(t.as_py(), spans[r]) if r in spans else t for r, t in zip(part[ROW].to_pylist(), part[text], strict=True)]
+            out = pa.array([t.as_py() if isinstance(t, pa.Scalar) else t for t in out], part[text].type)
+            yield pa.RecordBatch.from_arrays([out if c == text else part[c] for c in columns], names=columns)
+
+    return mask
 
 
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with personal data generalised to its kind and disclosing words removed.
+    """``docs``, a scan of files, with personal data and disclosing words generalised to their kind.
 
     Only ``text`` changes, and only where something was found. Overlapping finds are covered
-    by the mark of the first.
+    by the mark of the first. Spans go to the scan by block, so that texts are not shuffled.
     """
+    docs = scanned(docs)
     found = find_spans(docs, key, text, **options)
-    spans = F.sort_array(F.concat("base", "terms"))
-    found = found.select("row", spans.alias("__spans")).filter(F.size("__spans") > 0).dropDuplicates(["row"])
-    found = stage_table(found, "sanitise-spans")
-
-    @F.pandas_udf("string")
-    def mask(texts, spans):
-        import pandas as pd
-
-        return pd.Series([_masked(t, s) for t, s in zip(texts, spans, strict=True)])
-
-    joined = docs.withColumn("__row", F.xxhash64(key, text)).join(found.withColumnRenamed("row", "__row"), "__row", "left")
-    changed = F.when(F.col("__spans").isNotNull(), mask(F.when(F.col("__spans").isNotNull(), F.col(text)), "__spans"))
-    return joined.withColumn(text, F.coalesce(changed, F.col(text))).select(*docs.columns)
+    found = found.select("block", "row", F.sort_array(F.concat("base", "terms")).alias("spans"))
+    path = write_by_block(found.filter(F.size("spans") > 0).dropDuplicates(["block", "row"]))
+    marked = with_block(docs.select("*", F.xxhash64(key, text).alias(ROW)), BLOCK)
+    return marked.mapInArrow(_mask(path, text, docs.columns), docs.schema)
 
 
 def _masked(text: str | None, spans) -> str | None:

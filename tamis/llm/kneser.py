@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.blockwise import read_block, with_block, write_by_block
+from tamis.llm.blockwise import read_block, scanned, with_block, without_rows, write_by_block
 from tamis.sources.staging import stage_table
 
 SHARE = 2e-5
@@ -184,7 +184,7 @@ def _scorer(shared, answers: str):
                     sums = np.concatenate(([0.0], np.cumsum(logp)))
                     total[i : i + len(counts)] = sums[ends - counts] - sums[ends]
                     numbers[i : i + len(counts)] = counts
-            kept = [c for c in batch.schema.names if c not in ("text", "block")]
+            kept = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in kept), pa.array(numbers), pa.array(total)], names=[*kept, "n_tokens", "surprise"]
             )
@@ -238,7 +238,7 @@ def score(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
     share: float = SHARE, fence: float = FENCE,
 ) -> DataFrame:
-    """``(key, row, lang, n_tokens, perplexity, threshold, rejected)`` for every row of ``docs``.
+    """``(key, row, block, lang, n_tokens, perplexity, threshold, rejected)`` for every row of ``docs``.
 
     ``docs`` is a scan of files; ``labels`` has the same key and ``quality``, ``toxic``: a
     document is trusted if all its labels say quality 1 and not toxic. Rejected are documents
@@ -248,7 +248,7 @@ def score(
     ``row`` is a hash of key and text; repeated rows keep a row each. Other columns are ignored;
     no documents, no rows.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, scanned(docs)
     kind = dict(docs.dtypes)[key]
     said = docs.select(
         F.col(key).alias("id"), F.xxhash64(key, text).alias("row"), F.coalesce(F.col(lang), F.lit("")).alias("lang"),
@@ -293,7 +293,7 @@ def score(
         continuation[1, starts[number + 1] - SHAPES + shape] = -np.log1p(types)
 
     model = spark.sparkContext.broadcast((chosen, backoff, continuation))
-    columns = f"id {kind}, row long, lang string, fold long"
+    columns = f"id {kind}, row long, lang string, fold long, block long"
     scored = blocked.select("id", "row", "lang", "text", "fold", "block").mapInArrow(
         _scorer(model, answers), f"{columns}, n_tokens long, surprise double"
     )
@@ -306,13 +306,13 @@ def score(
     cut = quartiles.select("lang", (F.col("q")[1] + fence * (F.col("q")[1] - F.col("q")[0])).alias("cut"))
     result = scored.join(mean, "lang", "left").join(F.broadcast(cut), "lang", "left")
     return result.select(
-        F.col("id").alias(key), "row", "lang", "n_tokens", F.exp(mixed).alias("perplexity"),
+        F.col("id").alias(key), "row", "block", "lang", "n_tokens", F.exp(mixed).alias("perplexity"),
         F.exp("cut").alias("threshold"), F.coalesce(mixed > F.col("cut"), F.lit(False)).alias("rejected"),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs``, a scan of files, without the rejected ones."""
-    bad = score(docs, labels, key, text, **options).filter("rejected").select(F.col("row").alias("__row")).distinct()
-    bad = stage_table(bad, "rejected")
-    return docs.withColumn("__row", F.xxhash64(key, text)).join(bad, "__row", "left_anti").select(*docs.columns)
+    docs = scanned(docs)
+    bad = score(docs, labels, key, text, **options).filter("rejected").select("block", "row").distinct()
+    return without_rows(docs, key, text, bad.withColumn("once", F.lit(False)))

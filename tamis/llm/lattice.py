@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm.blockwise import read_block, with_block, write_by_block
+from tamis.llm.blockwise import read_block, scanned, with_block, write_by_block
 from tamis.sources.staging import stage_table
 
 MARK = "▁"
@@ -226,7 +226,7 @@ def encode(
     has no ids; repeated rows keep a row each; other columns are ignored; no documents, no rows.
     The piece table is broadcast: its size is the model's vocabulary.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, scanned(docs)
     pieces, byte_ids = read_pieces(model)
     longest = max((len(p) for p, _, _ in pieces), default=1)
     unknown = min((s for p, _, s in pieces if s > -1e8), default=0.0) - 10
