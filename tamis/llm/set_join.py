@@ -64,7 +64,7 @@ class Sketcher:
 def _signer(words: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sketcher = Shingler(words), Sketcher()
-        for batch in batches:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             texts = [t.as_py() for t in batch["text"].cast(pa.binary())]
             sets, sketches, shorts = [], [], []
             for hashes in shingler.sets(texts):
