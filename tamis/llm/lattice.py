@@ -128,7 +128,7 @@ def best_path(edges: Column, length: Column) -> Column:
 def segment(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
     """``(word, ids)`` for distinct non-empty ``words(word)``.
 
-    A character that no piece covers gives the negative of its code point, at score ``unknown``.
+    A character that no piece covers gives -1 less its code point, at score ``unknown``.
     """
     starts = words.select("word", F.explode(F.sequence(F.lit(0), F.char_length("word") - 1)).alias("start"))
     spans = starts.select(
@@ -139,7 +139,7 @@ def segment(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -
     found = parts.join(F.broadcast(pieces), "piece", "left").filter("id is not null or n = 1")
     edge = F.struct(
         (F.col("start") + F.col("n")).alias("end"), "start",
-        F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", -F.ascii("piece")).alias("id"),
+        F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
     )
     grouped = found.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     return grouped.select("word", best_path(F.col("edges"), F.char_length("word")).alias("ids"))
@@ -168,7 +168,7 @@ class Assembler:
             offsets = ids.offsets.to_numpy().astype(np.int64)
             values, ends = ids.values.to_numpy()[offsets[0] : offsets[-1]], offsets[1:] - offsets[0]
             if (values < 0).any():
-                spelled = [self.spelled(chr(-v)) if v < 0 else [v] for v in values.tolist()]
+                spelled = [self.spelled(chr(-1 - v)) if v < 0 else [v] for v in values.tolist()]
                 lengths = np.concatenate(([0], np.cumsum([len(x) for x in spelled])))
                 values = np.array([v for x in spelled for v in x], np.int32)
                 ends = lengths[ends]

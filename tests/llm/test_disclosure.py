@@ -47,7 +47,7 @@ def test_words_that_disclose_an_entity(spark):
     """A rare word beside one address in three different texts gives it away; common ones do not."""
     docs = [(k, f"the memo {k} by zorro{'' if k % 2 else ','} is from chief@x.org in town {k}") for k in range(4)]
     docs += [(10 + k, f"the memo {k} is in town {k}") for k in range(40)]
-    docs += [(100, "write to other@x.org about it"), (101, None), (102, ""), (3, docs[3][1]), (None, "zorro alone")]
+    docs += [(100, "write to other@x.org about it"), (101, None), (102, ""), (3, docs[3][1]), (None, "nobody alone")]
     found = disclosure.find_spans(rows_of(spark, docs))
     got = {}
     for r in found.collect():

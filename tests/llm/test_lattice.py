@@ -25,7 +25,7 @@ def viterbi(word, table, longest, unknown):
             part = word[s:e]
             if part not in table and e - s > 1:
                 continue
-            i, score = table.get(part, (-ord(part[0]), unknown))
+            i, score = table.get(part, (-1 - ord(part[0]), unknown))
             if best[e] is None or best[s][0] + score > best[e][0]:
                 best[e] = (best[s][0] + score, s, i)
     ids, e = [], len(word)
@@ -53,7 +53,7 @@ def test_texts_come_back_and_paths_are_best(spark, pieces):
                 wanted += [byte_ids[b] for b in (word or "▁").encode()]
             else:
                 for i in viterbi(word, table, longest, unknown):
-                    wanted += [byte_ids[b] for b in chr(-i).encode()] if i < 0 else [i]
+                    wanted += [byte_ids[b] for b in chr(-1 - i).encode()] if i < 0 else [i]
         assert list(got[key].ids) == wanted
     decoded = lattice.decode(encoded, MODEL).select("doc_id", F.col("text").alias("t"))
     assert {r.doc_id: r.t for r in decoded.collect()} == {k: t or "" for k, t, _, _ in rows}
