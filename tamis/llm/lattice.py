@@ -28,7 +28,7 @@ from tamis.sources.staging import stage_table
 MARK = "▁"
 #: Longer runs of letters (or of other characters) are cut; no piece is nearly as long.
 LONGEST = 128
-HELD_WORDS = 400_000
+HELD_WORDS, HELD_SEGMENTS = 600_000, 100_000
 
 # Runs in which all pieces of the table lie: letters, or anything else, after at most one mark.
 SPLIT = rf"{MARK}?[\p{{L}}\p{{M}}]{{1,{LONGEST}}}|{MARK}?[^\p{{L}}\p{{M}}{MARK}\n]{{1,{LONGEST}}}|{MARK}|\n"
@@ -53,32 +53,41 @@ def read_pieces(path: str) -> tuple[list[tuple[str, int, float]], list[int]]:
 
 
 class Cutter:
-    """Texts as words; ``None`` stands for a literal mark, which is spelled in bytes."""
+    """Texts as words; ``None`` stands for a literal mark, which is spelled in bytes.
+
+    No word goes beyond the next space, so texts are cut at their spaces first; what stands
+    between two of them mostly recurs and is cut into words once.
+    """
 
     def __init__(self):
         import regex
 
         self.find = regex.compile(SPLIT).findall
 
-    def words(self, text: str) -> list[str | None]:
-        if not text:
-            return []
-        if MARK not in text:
-            return self.find(MARK + text.replace(" ", MARK))
-        first, *rest = text.split(MARK)
-        words: list[str | None] = self.find(MARK + first.replace(" ", MARK))
+    def segments(self, text: str) -> list[str]:
+        return text.split(" ") if text else []
+
+    def cut(self, segment: str) -> list[str | None]:
+        """The words of a segment and the space before it."""
+        if MARK not in segment:
+            return self.find(MARK + segment)
+        first, *rest = segment.split(MARK)
+        words: list[str | None] = self.find(MARK + first)
         for part in rest:
-            words += [None, *self.find(part.replace(" ", MARK))]
+            words += [None, *self.find(part)]
         return words
 
+    def words(self, text: str) -> list[str | None]:
+        return [word for segment in self.segments(text) for word in self.cut(segment)]
+
 
 def _asker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct words of each block (a long block asks in several portions)."""
     cutter, held = Cutter(), {}
 
     def rows() -> Iterator[pa.RecordBatch]:
-        for block, words in held.items():
-            words -= {None, "\n"}
+        for block, segments in held.items():
+            words = {word for segment in segments for word in cutter.cut(segment)} - {None, "\n"}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block] * len(words), pa.int64()), pa.array(list(words), pa.string())], names=["block", "word"]
             )
@@ -88,7 +97,7 @@ def _asker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, text in zip(batch["block"].to_pylist(), batch["text"], strict=True):
             if block not in held and held:
                 yield from rows()
-            held.setdefault(block, set()).update(cutter.words(text.as_py() or ""))
+            held.setdefault(block, set()).update(cutter.segments(text.as_py() or ""))
             if len(held[block]) > HELD_WORDS:
                 yield from rows()
     yield from rows()
@@ -179,14 +188,20 @@ class Assembler:
             ends = np.append(ends, len(values))
         self.values, self.ends = values, ends
         self.starts = np.concatenate(([0], ends[:-1]))
+        self.coded: dict[str, bytes] = {}
+
+    def segment_ids(self, segment: str) -> bytes:
+        rows = [self.number[word] for word in self.cutter.cut(segment)]
+        coded = b"".join(self.values[self.starts[r] : self.ends[r]].astype("<i4").tobytes() for r in rows)
+        if len(self.coded) >= HELD_SEGMENTS:
+            self.coded.clear()
+        self.coded[segment] = coded
+        return coded
 
     def encode(self, text: str) -> np.ndarray:
-        words = self.cutter.words(text)
-        rows = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        lengths = self.ends[rows] - self.starts[rows]
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1] if len(ends) else 0)
-        return self.values[at + np.repeat(self.starts[rows] - (ends - lengths), lengths)]
+        known = self.coded.get
+        parts = (known(s) or self.segment_ids(s) for s in self.cutter.segments(text))
+        return np.frombuffer(b"".join(parts), "<i4")
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")[1:]
@@ -195,7 +210,7 @@ class Assembler:
 def _encoder(shared, answers: str, digest: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         assembler, block = Assembler(*shared.value), None
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             out = []
             for key, text in zip(batch["block"].to_pylist(), batch["text"], strict=True):
                 if key != block:
