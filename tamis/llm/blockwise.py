@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.llm.records import file_system
@@ -20,15 +20,27 @@ from tamis.sources.staging import owned_folder, stage_table
 
 #: Names of helper columns beside those of a table of any columns.
 ROW, BLOCK = "__row", "__block"
+CUTS = "spark.sql.files.minPartitionNum"
+
+
+def hold_cuts(spark: SparkSession) -> None:
+    """Keep the number that the size of file splits is taken from, unless it is set."""
+    if spark.conf.get(CUTS, None) is None:
+        now = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        spark.conf.set(CUTS, str(now))
 
 
 def with_block(table: DataFrame, name: str = "block") -> DataFrame:
     """``table``, a scan of files, with the block of each row as the long column ``name``.
 
-    Both scans must be of the same files in the same session, which cuts them alike. Rows that
-    come from no file, as behind a shuffle, are an error.
+    Both scans must be of the same files in the same session. Files would be cut by the number
+    of executors that are there when a scan is planned; the number at the first scan is kept
+    for the session, so that later scans are cut alike. A block is known by its file, start and
+    length: the same block always has the same rows. Rows that come from no file, as behind a
+    shuffle, are an error.
     """
-    place = F.xxhash64(F.input_file_name(), F.input_file_block_start())
+    hold_cuts(table.sparkSession)
+    place = F.xxhash64(F.input_file_name(), F.input_file_block_start(), F.input_file_block_length())
     fault = F.raise_error(F.lit("a scan of files is needed here; store the table first")).cast("long")
     return table.withColumn(name, F.when(F.input_file_name() != "", place).otherwise(fault))
 
@@ -48,19 +60,34 @@ def by_block(batches: Iterator[pa.RecordBatch], name: str = "block") -> Iterator
                 yield int(blocks[a]), batch.slice(a, b - a)
 
 
-def write_by_block(answers: DataFrame) -> str:
-    """Write ``answers`` under their ``block`` and return the folder."""
-    path = owned_folder(answers.sparkSession, "by-block")
+def write_by_block(answers: DataFrame, table: DataFrame) -> str:
+    """Write ``answers`` under their ``block`` and return the folder.
+
+    The blocks of ``table``, the scan that asked, are listed beside them, so that a block
+    without answers differs from one that was never asked. Answers to a block that is not
+    listed come from a scan that was cut otherwise, and are an error.
+    """
+    spark, path = answers.sparkSession, owned_folder(answers.sparkSession, "by-block")
     answers.repartition("block").write.partitionBy("block").parquet(path)
+    listed = stage_table(with_block(table).select("block").distinct(), "blocks")
+    listed.withColumn("asked", F.lit(True)).repartition("block").write.partitionBy("block").parquet(f"{path}-asked")
+    answered = spark.read.schema(answers.schema).parquet(path).select("block").distinct()
+    if not answered.join(listed, "block", "left_anti").isEmpty():
+        raise RuntimeError(f"the files were cut in another way since the questions were asked: {path}")
     return path
 
 
 def read_block(path: str, block: int) -> pa.Table | None:
-    """The answers of one block, or None if it has none; runs inside tasks."""
+    """The answers of one block, or None if it has none; runs inside tasks.
+
+    A block that was never asked is an error: its answers are not known to be none.
+    """
     import pyarrow.parquet as pq
     from pyarrow import fs
 
     store, base = file_system(path)
+    if store.get_file_info(f"{base}-asked/block={block}").type == fs.FileType.NotFound:
+        raise RuntimeError(f"block {block} was not asked: the files were cut in another way before ({path})")
     found = store.get_file_info(fs.FileSelector(f"{base}/block={block}", allow_not_found=True))
     parts = []
     for info in sorted(found, key=lambda x: x.path):
@@ -97,6 +124,6 @@ def without_rows(docs: DataFrame, key: str, text: str, decided: DataFrame) -> Da
     ``row`` is the hash of key and text; where ``once`` is set, the first of the block's rows
     of that hash stays. Texts are filtered where they are read.
     """
-    path = write_by_block(decided.select("block", "row", "once"))
+    path = write_by_block(decided.select("block", "row", "once"), docs)
     marked = with_block(docs.select("*", F.xxhash64(key, text).alias(ROW)), BLOCK)
     return marked.mapInArrow(_filter(path, docs.columns), docs.schema)

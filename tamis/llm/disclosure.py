@@ -205,7 +205,7 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     docs = scanned(docs)
     found = find_spans(docs, key, text, **options)
     found = found.select("block", "row", F.sort_array(F.concat("base", "terms")).alias("spans"))
-    path = write_by_block(found.filter(F.size("spans") > 0).dropDuplicates(["block", "row"]))
+    path = write_by_block(found.filter(F.size("spans") > 0).dropDuplicates(["block", "row"]), docs)
     marked = with_block(docs.select("*", F.xxhash64(key, text).alias(ROW)), BLOCK)
     return marked.mapInArrow(_mask(path, text, docs.columns), docs.schema)
 

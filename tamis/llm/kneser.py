@@ -276,7 +276,7 @@ def score(
 
     blocked = with_block(said)
     asked = blocked.select("block", "lang", "text").mapInArrow(_asker(shared), "block long, key long")
-    answers = write_by_block(asked.join(known, "key").select("block", "key", "logp"))
+    answers = write_by_block(asked.join(known, "key").select("block", "key", "logp"), docs)
 
     backoff = np.zeros(starts[-1])  # log of 1 where a context was never seen
     for number, u, weight in contexts.select("lang", "u", "backoff").collect():

@@ -251,7 +251,7 @@ def encode(
     asked = blocked.select("block", "text").mapInArrow(_asker, "block long, word string")
     asked = stage_table(asked, "asked-words")
     segmented = stage_table(segment(asked.select("word").distinct(), table, longest, unknown), "segmented")
-    answers = write_by_block(asked.join(segmented, "word").select("block", "word", "ids"))
+    answers = write_by_block(asked.join(segmented, "word").select("block", "word", "ids"), docs)
     shared = spark.sparkContext.broadcast((pieces, byte_ids))
     out = "ids_crc32 long" if digest else "ids array<int>"
     encoded = blocked.mapInArrow(_encoder(shared, answers, digest), f"key {kind}, n_pieces long, {out}, exact boolean")

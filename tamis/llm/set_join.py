@@ -297,7 +297,7 @@ def near_duplicates(
 
     sizes = stage_table(groups.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "candidate-sizes")
     members = groups.join(sizes, "root").select(F.col("node").alias("set"), F.col("root").alias("comp"), "n")
-    path = write_by_block(members.join(reps.select("set", "row", "block", "copies"), "set"))
+    path = write_by_block(members.join(reps.select("set", "row", "block", "copies"), "set"), docs)
     texts = rows.select("row", "block", "text").mapInArrow(_picker(path), "set long, comp long, n long, copies long, text string")
     tasks = tasks_for(stage_table(texts, "candidate-texts"), "comp", "n", "set", EXACT_CHUNK)
     links = tasks.select("task", "side", "comp", "set", "copies", "text").groupBy("task")
