@@ -1,29 +1,29 @@
 """Quality classifier: perplexity under a language model of trusted text.
 
 The model is a bigram model per language with interpolated modified Kneser-Ney smoothing,
-counted over all trusted documents. Its vocabulary are the words that make up at least
-``SHARE`` of the corpus, hence at most ``1 / SHARE`` words; other words are known by their
-shape and cost the choice among the words of that shape. Counts and probabilities are
-sharded tables: each block of documents asks for its distinct bigrams, a join answers, and
-the block's scan sums the answers per document. A language's threshold lies a number of
+counted over all trusted documents. Every word of the corpus is in the vocabulary, known by
+a 64-bit hash of language and word. Words that trusted text never has share the mass that
+the continuations leave: by shape as words seen once do, then evenly among the types of that
+shape. Counts, back-off weights and continuations are sharded tables: each block of documents
+asks for its distinct bigrams and words, joins answer, and the block's scan sums the answers
+per document, so what a task holds grows with its block only. A language's threshold lies a number of
 interquartile ranges above the upper quartile of the scores of trusted documents that the
 model was not trained on; quartiles hold also where few are held out or some are bad.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamis.llm.blockwise import read_block, scanned, with_block, without_rows, write_by_block
 from tamis.sources.staging import stage_table
 
-SHARE = 2e-5
 #: Every ``FOLDS``-th text, by hash, is held out to set the thresholds, which lie ``FENCE``
 #: interquartile ranges above the upper quartile.
 FOLDS, FENCE = 5, 2.0
@@ -32,8 +32,8 @@ PRIOR = 30
 #: Labels up to this number of rows are broadcast (16 bytes each); more are joined by shuffle.
 BROADCAST_LABELS = 2_000_000
 HELD_WORDS = 400_000
-
-SHAPES = 7
+#: The low bits of a word id say its shape; START is the shape of the start of a text.
+SHAPE_BITS, START = 7, 7
 
 
 def shape_of(word: str) -> int:
@@ -46,115 +46,134 @@ def shape_of(word: str) -> int:
     return 4 if core.isdigit() else 6 if core else 5
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, Counter] = {}
-
-    def rows() -> Iterator[pa.RecordBatch]:
-        for lang, counts in held.items():
-            words = list(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(words)), pa.array(words), pa.array([shape_of(w) for w in words], pa.int32()),
-                 pa.array(list(counts.values()), pa.int64())],
-                names=["lang", "word", "shape", "n"],
-            )
-        held.clear()
-
-    for batch in batches:
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"], strict=True):
-            held.setdefault(lang, Counter()).update((text.as_py() or "").split())
-            if sum(map(len, held.values())) > HELD_WORDS:
-                yield from rows()
-    yield from rows()
-
-
 class _Ids(dict):
-    """Word ids of one language; unknown words by shape."""
+    """Word ids of one language, hashed when first met."""
 
-    def __init__(self, words: list[str]):
-        super().__init__(zip(words, range(1, len(words) + 1), strict=True))
-        self.known = len(words)
+    def __init__(self, lang: str):
+        super().__init__()
+        self.salt = f"{lang}\0"
+        self.lang = xxhash.xxh64_intdigest(lang) - (1 << 63)
+        self.start = self.of("", START)
 
-    def __missing__(self, word: str) -> int:
-        return self.known + 1 + shape_of(word)
+    def of(self, word: str, shape: int) -> int:
+        return (xxhash.xxh64_intdigest(self.salt + word) - (1 << 63)) & ~SHAPE_BITS | shape
 
+    def __missing__(self, word: str) -> int:
+        self[word] = found = self.of(word, shape_of(word))
+        return found
 
-class Vocabulary:
-    """Words per language, languages by number. Id 0 is the start of a text."""
-
-    def __init__(self, words: dict[str, list[str]]):
-        self.langs = sorted(words)
-        self.number = {lang: i for i, lang in enumerate(self.langs)}
-        self.words = [words[lang] for lang in self.langs]
 
-    def open(self) -> None:
-        self.ids = [_Ids(w) for w in self.words]
+class Words:
+    """The word ids of texts; ids are the same in every task."""
 
-    def sizes(self) -> list[int]:
-        return [len(w) + 1 + SHAPES for w in self.words]
+    def __init__(self):
+        self.ids: dict[str, _Ids] = {}
 
-    def bigrams(self, langs: list[str], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Keys ``language << 32 | previous << 16 | word`` of all texts, and the number per text."""
-        parts, counts = [], []
+    def bigrams(self, langs: list[str], texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        """``(language, previous, word)`` of all words of all texts, and the number per text."""
+        if sum(map(len, self.ids.values())) > HELD_WORDS:
+            self.ids.clear()
+        parts, counts = [np.zeros((3, 0), np.int64)], []
         for lang, text in zip(langs, texts, strict=True):
-            number = self.number.get(lang)
-            words = text.split() if text and number is not None else []
+            words = text.split() if text else []
             counts.append(len(words))
             if words:
-                ids = np.fromiter(map(self.ids[number].__getitem__, words), np.int64, len(words))
-                keys = ids | number << 32
-                keys[1:] |= ids[:-1] << 16
-                parts.append(keys)
-        return np.concatenate(parts) if parts else np.zeros(0, np.int64), np.array(counts)
+                if lang not in self.ids:
+                    self.ids[lang] = _Ids(lang)
+                ids = self.ids[lang]
+                part = np.empty((3, len(words)), np.int64)
+                part[0], part[1, 0] = ids.lang, ids.start
+                part[2] = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+                part[1, 1:] = part[2, :-1]
+                parts.append(part)
+        return *np.concatenate(parts, axis=1), np.array(counts, np.int64)
+
+
+def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each bigram."""
+    key = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
+    key = (key ^ key >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (key ^ key >> np.uint64(32)).view(np.int64)
 
 
 def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     yield from (batch.slice(i, 512) for i in range(0, batch.num_rows, 512))
 
 
-def _trainer(shared):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
-        vocabulary.open()
-        for batch in batches:
-            found = [vocabulary.bigrams(p["lang"].to_pylist(), p["text"].to_pylist())[0] for p in _portions(batch)]
-            if found:
-                keys, counts = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "c"])
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = Words()
+    for batch in batches:
+        found = [words.bigrams(p["lang"].to_pylist(), p["text"].to_pylist())[:3] for p in _portions(batch)]
+        if found:
+            lang, before, word = np.concatenate(found, axis=1)
+            keys, at, counts = np.unique(pair_keys(before, word), return_index=True, return_counts=True)
+            columns = (lang[at], before[at], word[at], keys, counts)
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["lang", "u", "w", "key", "c"])
 
-    return count
 
+def _asker(of_words: bool):
+    """The distinct words, or bigrams, of each block (a long block asks in several portions)."""
 
-def _asker(shared):
-    """The distinct bigrams of each block (a long block asks in several portions)."""
+    def questions(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for block, found in held.items():
+            columns = [pa.array(np.full(found.shape[1], block)), *map(pa.array, found)]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "key"] if of_words else ["block", "key"])
+        held.clear()
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
-        vocabulary.open()
-        held: dict[int, np.ndarray] = {}
+        words, held = Words(), {}
         for batch in batches:
             for part in _portions(batch):
-                keys, counts = vocabulary.bigrams(part["lang"].to_pylist(), part["text"].to_pylist())
+                lang, before, word, counts = words.bigrams(part["lang"].to_pylist(), part["text"].to_pylist())
                 owner = np.repeat(part["block"].to_numpy(), counts)
                 for block in np.unique(owner).tolist():
-                    fresh = np.unique(keys[owner == block])
-                    held[block] = np.union1d(held[block], fresh) if block in held else fresh
-            if len(held) > 1 or sum(map(len, held.values())) > 4 * HELD_WORDS:
-                for block, keys in held.items():
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys)], names=["block", "key"])
-                held.clear()
-        for block, keys in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys)], names=["block", "key"])
+                    own = owner == block
+                    if of_words:
+                        fresh = np.stack((np.tile(lang[own], 2), np.concatenate((before[own], word[own]))))
+                    else:
+                        fresh = pair_keys(before[own], word[own])[None]
+                    if block in held:
+                        fresh = np.concatenate((held[block], fresh), axis=1)
+                    held[block] = fresh[:, np.unique(fresh[-1], return_index=True)[1]]
+            if len(held) > 1 or sum(x.shape[1] for x in held.values()) > 4 * HELD_WORDS:
+                yield from questions(held)
+        yield from questions(held)
 
     return ask
 
 
-def _scorer(shared, answers: str):
+class _Answers:
+    """What a block was told: bigrams, and words as contexts and by themselves."""
+
+    def __init__(self, table: pa.Table | None):
+        table = table if table is not None else pa.table({"word": pa.array([], pa.bool_()), **{c: pa.array([], t) for c, t in (
+            ("key", pa.int64()), ("mass", pa.float64()), ("backoff", pa.float64()), ("total", pa.float64()))}})
+        of_word = table["word"].to_numpy()
+        keys, mass, backoff, total = (table[c].to_numpy() for c in ("key", "mass", "backoff", "total"))
+        self.pairs, at = np.unique(keys[~of_word], return_index=True)
+        self.pair_mass = mass[~of_word][at]
+        self.words, at = np.unique(keys[of_word], return_index=True)
+        self.continuation, self.backoff, self.total = mass[of_word][at], backoff[of_word][at], total[of_word][at]
+
+    def of_words(self, ids: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.words, ids)
+        if len(ids) and (not len(self.words) or (self.words[np.minimum(at, len(self.words) - 1)] != ids).any()):
+            raise RuntimeError("a word of the block was not answered")
+        return at
+
+    def log_probability(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
+        context = self.of_words(before)
+        p = self.backoff[context] * self.continuation[self.of_words(word)]
+        if len(self.pairs):
+            keys = pair_keys(before, word)
+            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            p += np.where(self.pairs[at] == keys, self.pair_mass[at], 0.0) / self.total[context]
+        return np.log(p)
+
+
+def _scorer(answers: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, backoff, continuation = shared.value
-        vocabulary = Vocabulary(words)
-        vocabulary.open()
-        starts = np.concatenate(([0], np.cumsum(vocabulary.sizes())))[:-1]
-        block, seen, known = None, np.zeros(0, np.int64), np.zeros(0)
+        words, block, known = Words(), None, _Answers(None)
         for batch in batches:
             total = np.zeros(batch.num_rows)
             numbers = np.zeros(batch.num_rows, np.int64)
@@ -165,23 +184,12 @@ def _scorer(shared, answers: str):
                     continue
                 if blocks[a] != block:
                     block = blocks[a]
-                    table = read_block(answers, int(block))
-                    if table is None:
-                        seen, known = np.zeros(0, np.int64), np.zeros(0)
-                    else:
-                        table = table.select(["key", "logp"]).group_by("key").aggregate([("logp", "min")]).sort_by("key")
-                        seen, known = table["key"].to_numpy(), table["logp_min"].to_numpy()
+                    known = _Answers(read_block(answers, int(block)))
                 for i in range(a, b, 512):
                     part = batch.slice(i, min(512, b - i))
-                    keys, counts = vocabulary.bigrams(part["lang"].to_pylist(), part["text"].to_pylist())
-                    base = starts[keys >> 32]
-                    logp = backoff[base + (keys >> 16 & 0xFFFF)] + continuation[0, base + (keys & 0xFFFF)]
-                    if len(seen):
-                        at = np.minimum(np.searchsorted(seen, keys), len(seen) - 1)
-                        logp = np.where(seen[at] == keys, known[at], logp)
-                    logp = logp + continuation[1, base + (keys & 0xFFFF)]
+                    _, before, word, counts = words.bigrams(part["lang"].to_pylist(), part["text"].to_pylist())
+                    sums = np.concatenate(([0.0], np.cumsum(known.log_probability(before, word))))
                     ends = np.cumsum(counts)
-                    sums = np.concatenate(([0.0], np.cumsum(logp)))
                     total[i : i + len(counts)] = sums[ends - counts] - sums[ends]
                     numbers[i : i + len(counts)] = counts
             kept = [c for c in batch.schema.names if c != "text"]
@@ -202,49 +210,80 @@ def _discounted(count: Column) -> tuple[list, Column]:
 
 
 def train(counts: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Kneser-Ney tables of bigram ``counts(key, c)``.
+    """``smooth`` for ``counts(key, c)`` of small ids, ``key`` being ``lang << 32 | u << 16 | w``.
 
-    Returns the log probability of every counted bigram, the back-off weight of every context
-    and the continuation probability of every word. ``sizes`` is ``(lang, size)``. All but the
-    first are bounded by the vocabulary, and so may be broadcast.
+    Returns the log probability of every counted bigram, the contexts and the continuations.
+    ``sizes`` is ``(lang, size)``; the mass of unseen words is even over ``size`` words.
     """
     parted = counts.select(
         "key", "c", F.shiftright("key", 32).alias("lang"),
         F.shiftright("key", 16).bitwiseAND(F.lit(0xFFFF)).alias("u"), F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("w"),
     )
+    shapes = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SHAPE_BITS).cast("long"))).alias("shape")
+    cut, contexts, words, _ = smooth(parted, lambda _: sizes.select("lang", shapes, (1 / F.col("size")).alias("base")))
+    known = cut.join(contexts, ["lang", "u"]).join(words, ["lang", "w"])
+    p = F.col("mass") / F.col("total") + F.col("backoff") * F.col("continuation")
+    return known.select("key", F.log(p).alias("logp")), contexts, words
+
+
+def even_by_shape(types: DataFrame):
+    """How unseen words share their mass: shapes as words seen once do, types of a shape evenly.
+
+    ``types`` is ``(lang, shape, n_types)`` of the whole corpus; gives ``(lang, shape, base)``.
+    """
+
+    def base(words: DataFrame) -> DataFrame:
+        once = words.groupBy("lang", "shape").agg(F.count_if(F.col("before") == 1).alias("once"))
+        shared = types.join(F.broadcast(once), ["lang", "shape"], "left")
+        shared = shared.withColumn("m", F.coalesce("once", F.lit(0)) + F.lit(1.0))
+        whole = shared.groupBy("lang").agg(F.sum("m").alias("whole"))
+        return shared.join(F.broadcast(whole), "lang").select("lang", "shape", (F.col("m") / F.col("whole") / F.col("n_types")).alias("base"))
+
+    return base
+
+
+def smooth(parted: DataFrame, base) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Kneser-Ney tables of bigram counts ``(lang, u, w, key, c)``.
+
+    Returns the discounted count (``mass``) of every bigram, the total and back-off weight of
+    every context, the continuation probability of every word, and that of a word never counted, by language
+    and shape. Only tables of a few rows per language are broadcast.
+    """
     numbers, discount = _discounted(F.col("c"))
     language = F.broadcast(parted.groupBy("lang").agg(*numbers))
     cut = parted.join(language, "lang").withColumn("d", discount).drop("n1", "n2", "n3", "n4")
-    cut = stage_table(cut, "bigrams")
     contexts = cut.groupBy("lang", "u").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("backoff"))
     contexts = stage_table(contexts, "contexts")
 
     words = cut.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("before"))
+    words = stage_table(words.withColumn("shape", F.col("w").bitwiseAND(F.lit(SHAPE_BITS).cast("long"))), "befores")
     numbers, discount = _discounted(F.col("before"))
     language = words.groupBy("lang").agg(*numbers, F.sum("before").alias("all"))
-    words = words.join(F.broadcast(language), "lang").withColumn("d", discount)
-    rest = words.groupBy("lang").agg((F.sum("d") / F.first("all")).alias("rest")).join(sizes, "lang")
-    words = words.join(F.broadcast(rest), "lang").select(
-        "lang", "w", ((F.col("before") - F.col("d")) / F.col("all") + F.col("rest") / F.col("size")).alias("continuation")
+    discounted = words.join(F.broadcast(language), "lang").withColumn("d", discount)
+    rest = discounted.groupBy("lang").agg((F.sum("d") / F.first("all")).alias("rest"))
+    unseen = base(words).join(F.broadcast(rest), "lang", "left")
+    unseen = unseen.select("lang", "shape", (F.coalesce("rest", F.lit(1.0)) * F.col("base")).alias("continuation"))
+    unseen = stage_table(unseen, "unseen")
+    words = discounted.join(F.broadcast(unseen), ["lang", "shape"]).select(
+        "lang", "w", ((F.col("before") - F.col("d")) / F.col("all") + F.col("continuation")).alias("continuation")
     )
     words = stage_table(words, "continuations")
 
-    known = cut.join(F.broadcast(contexts), ["lang", "u"]).join(F.broadcast(words), ["lang", "w"])
-    p = (F.col("c") - F.col("d")) / F.col("total") + F.col("backoff") * F.col("continuation")
-    return known.select("key", F.log(p).alias("logp")), contexts, words
+    return cut.select("lang", "u", "w", "key", (F.col("c") - F.col("d")).alias("mass")), contexts, words, unseen
 
 
 def score(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-    share: float = SHARE, fence: float = FENCE,
+    share: float | None = None, fence: float = FENCE,
 ) -> DataFrame:
     """``(key, row, block, lang, n_tokens, perplexity, threshold, rejected)`` for every row of ``docs``.
 
     ``docs`` is a scan of files; ``labels`` has the same key and ``quality``, ``toxic``: a
     document is trusted if all its labels say quality 1 and not toxic. Rejected are documents
     whose perplexity is above their language's threshold. Null text is empty and scores as
-    average, null language is a language of its own. A language that has no frequent words or
-    no held-out trusted documents has no threshold, and none of its documents is rejected.
+    average, null language is a language of its own. A language that has no held-out trusted
+    documents has no threshold, and none of its documents is rejected. ``share`` was the share
+    of the corpus from which on a word was known; all words are, and it has no effect.
     ``row`` is a hash of key and text; repeated rows keep a row each. Other columns are ignored;
     no documents, no rows.
     """
@@ -254,52 +293,42 @@ def score(
         F.col(key).alias("id"), F.xxhash64(key, text).alias("row"), F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.col(text).alias("text"), F.pmod(F.xxhash64(text), F.lit(FOLDS)).alias("fold"),
     )
-    words = said.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, shape int, n long")
-    words = stage_table(words.groupBy("lang", "word", "shape").agg(F.sum("n").alias("n")), "words")
-    least = (words.agg(F.sum("n")).first()[0] or 0) * share
-    chosen: dict[str, list[str]] = {}
-    for name, word in words.filter(F.col("n") >= least).select("lang", "word").orderBy("lang", "word").collect():
-        chosen.setdefault(name, []).append(word)  # at most 1 / share rows
-    vocabulary = Vocabulary(chosen)
-    sizes = vocabulary.sizes()
-    starts = np.concatenate(([0], np.cumsum(sizes))).astype(int)
-    shared = spark.sparkContext.broadcast(chosen)
+    blocked = with_block(said)
+    asked = blocked.select("block", "lang", "text")
+    words = stage_table(asked.mapInArrow(_asker(True), "block long, lang long, key long"), "asked-words")
+    kinds = words.select("lang", "key", F.col("key").bitwiseAND(F.lit(SHAPE_BITS).cast("long")).alias("shape")).distinct()
+    kinds = stage_table(kinds, "word-types")
+    types = kinds.filter(F.col("shape") < START).groupBy("lang", "shape").agg(F.count(F.lit(1)).alias("n_types"))
 
     good = labels.groupBy(key).agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
     good = stage_table(good.filter("q = 1 and t = 0").select(F.col(key).alias("id")), "trusted")
     if good.count() <= BROADCAST_LABELS:
         good = F.broadcast(good)
     trusted = said.filter(F.col("fold") > 0).join(good, "id", "left_semi").select("lang", "text")
-    counts = trusted.mapInArrow(_trainer(shared), "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    table = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "lang long, size long")
-    known, contexts, continuations = train(counts, table)
+    counts = trusted.mapInArrow(_train, "lang long, u long, w long, key long, c long")
+    counts = counts.groupBy("lang", "u", "w", "key").agg(F.sum("c").alias("c"))
+    known, contexts, continuations, unseen = smooth(stage_table(counts, "counts"), even_by_shape(types))
+
+    # a context never seen backs off with weight 1; the start of a text is a context only
+    told = kinds.join(contexts.select(F.col("u").alias("key"), "backoff", "total"), "key", "left")
+    told = told.join(continuations.select(F.col("w").alias("key"), "continuation"), "key", "left")
+    told = told.join(F.broadcast(unseen.withColumnRenamed("continuation", "new")), ["lang", "shape"], "left").select(
+        "key", F.coalesce("continuation", "new", F.lit(1.0)).alias("mass"),
+        F.greatest(F.coalesce("backoff", F.lit(1.0)), F.lit(1e-12)).alias("backoff"),
+        F.coalesce("total", F.lit(1)).cast("double").alias("total"),
+    )
+    told = words.join(stage_table(told, "word-answers"), "key").select("block", F.lit(True).alias("word"), "key", "mass", "backoff", "total")
+    pairs = asked.mapInArrow(_asker(False), "block long, key long").join(known.select("key", "mass"), "key")
+    none = F.lit(None).cast("double")
+    pairs = pairs.select("block", F.lit(False).alias("word"), "key", "mass", none.alias("backoff"), none.alias("total"))
+    answers = write_by_block(told.unionByName(pairs), docs)
 
-    blocked = with_block(said)
-    asked = blocked.select("block", "lang", "text").mapInArrow(_asker(shared), "block long, key long")
-    answers = write_by_block(asked.join(known, "key").select("block", "key", "logp"), docs)
-
-    backoff = np.zeros(starts[-1])  # log of 1 where a context was never seen
-    for number, u, weight in contexts.select("lang", "u", "backoff").collect():
-        backoff[starts[number] + u] = np.log(max(weight, 1e-12))
-    # a word never seen in trusted text has a share of the mass that continuations leave
-    continuation = np.zeros((2, starts[-1]))
-    for number, size in enumerate(sizes):
-        continuation[0, starts[number] : starts[number + 1]] = -np.log(10.0 * size)
-    for number, w, p in continuations.select("lang", "w", "continuation").collect():
-        continuation[0, starts[number] + w] = np.log(p)
-    rare = words.filter(F.col("n") < least).filter(F.col("lang").isin(vocabulary.langs[:100_000]))
-    for name, shape, types in rare.groupBy("lang", "shape").count().collect():  # SHAPES rows per language
-        number = vocabulary.number[name]
-        continuation[1, starts[number + 1] - SHAPES + shape] = -np.log1p(types)
-
-    model = spark.sparkContext.broadcast((chosen, backoff, continuation))
     columns = f"id {kind}, row long, lang string, fold long, block long"
     scored = blocked.select("id", "row", "lang", "text", "fold", "block").mapInArrow(
-        _scorer(model, answers), f"{columns}, n_tokens long, surprise double"
+        _scorer(answers), f"{columns}, n_tokens long, surprise double"
     )
     scored = stage_table(scored, "scored")
     held = scored.filter("fold = 0").join(good, "id", "left_semi")
-    held = held.filter(F.col("lang").isin(vocabulary.langs))
     mean = F.broadcast(held.groupBy("lang").agg((F.sum("surprise") / F.sum("n_tokens")).alias("mean")))
     mixed = (F.col("surprise") + PRIOR * F.col("mean")) / (F.col("n_tokens") + PRIOR)
     quartiles = held.join(mean, "lang").groupBy("lang").agg(F.percentile_approx(mixed, [0.25, 0.75], 10_000).alias("q"))
