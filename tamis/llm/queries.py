@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tamis.llm import decontaminate, disclosure, fixity, kneser, lattice, metric_join, pages, records, replies, set_join
+from tamis.llm import (
+    decontaminate, disclosure, fixity, kneser, lattice, metric_join, pages, periodic, records, replies, set_join,
+)
 from tamis.sources.staging import stage_table
 
 
@@ -102,6 +104,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", periodic.looped().alias("text"))
+    found = periodic.find_runs(docs)
+    # The greatest quotient of length and period; runs come by start, then period, and the first of equals stays.
+    more = lambda run, best: run["length"] * best["period"] > best["length"] * run["period"]
+    best = F.aggregate(
+        "runs", F.get("runs", F.lit(0)), lambda best, run: F.when(more(run, best), run).otherwise(best)
+    )
+    line = lambda run: F.concat_ws(",", *(run[c].cast("string") for c in ("start", "length", "period")))
+    lines = F.transform("runs", lambda run: F.concat(line(run), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_metric_join": op1_metric_join,
     "op2_records": op2_records,
@@ -113,5 +135,6 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_pages": op9_pages,
     "op10_decontamination": op10_decontamination,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
