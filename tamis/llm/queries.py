@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tamis.llm import (
-    decontaminate, disclosure, fixity, kneser, lattice, metric_join, pages, periodic, records, replies, set_join,
+    decontaminate, disclosure, fixity, kneser, lattice, metric_join, negatives, pages, periodic, records, replies,
+    set_join,
 )
 from tamis.sources.staging import stage_table
 
@@ -104,6 +105,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.mine_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", periodic.looped().alias("text"))
     found = periodic.find_runs(docs)
@@ -135,6 +142,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_pages": op9_pages,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }

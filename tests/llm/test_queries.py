@@ -8,7 +8,7 @@ import pytest
 from tamis.llm import oracles, queries
 
 SF = "/root/testdata/sf0.001"
-KINDS = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(oracles.ORACLES))
