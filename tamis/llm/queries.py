@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tamis.llm import (
-    decontaminate, disclosure, fixity, kneser, lattice, metric_join, negatives, pages, periodic, records, replies,
-    set_join,
+    curve_packing, decontaminate, disclosure, fixity, kneser, lattice, metric_join, negatives, pages, periodic, records,
+    replies, set_join,
 )
 from tamis.sources.staging import stage_table
 
@@ -111,6 +111,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine_negatives(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = curve_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    return curve_packing.checksums(pieces).select(columns)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", periodic.looped().alias("text"))
     found = periodic.find_runs(docs)
@@ -143,6 +152,7 @@ QUERIES = {
     "op9_pages": op9_pages,
     "op10_decontamination": op10_decontamination,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_curve_packing": op12_curve_packing,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
