@@ -286,11 +286,17 @@ def looped(key: str = "doc_id", text: str = "text"):
     g = F.floor(h / 10)
 
     def repeated(words):
-        n = F.size(words)
+        n = F.size(words).cast("long")
         a = F.pmod(g, n)
-        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
-        place = lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + F.pmod(i - a, p)).cast("int")))
-        return F.array_join(F.transform(words, place), " ")
+        return F.struct(words.alias("words"), n.alias("n"), a.alias("a"), (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).alias("p"))
 
+    def rendered(known):
+        a, p, rest = known["a"].cast("int"), known["p"].cast("int"), (known["n"] - known["a"]).cast("int")
+        unit = F.slice(known["words"], a + 1, p)
+        copies = F.flatten(F.array_repeat(unit, F.ceil(rest / p).cast("int")))
+        return F.array_join(F.concat(F.slice(known["words"], F.lit(1), a), F.slice(copies, F.lit(1), rest)), " ")
+
+    # A transform of one element computes it once, however often its function names it.
+    once = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
     chosen = (F.pmod(h, F.lit(10)) == 0) & F.col(text).rlike("[^\\x20\\x09-\\x0D]")
-    return F.when(chosen, repeated(words)).otherwise(whole)
+    return F.when(chosen, once(once(words, repeated), rendered)).otherwise(whole)
