@@ -15,8 +15,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +28,9 @@ END_ID, LENGTH = 1, 2048
 #: Parts of a hashed document vector, dimensions of its projection, and bits of each on the curve.
 BUCKETS, DIMS, BITS = 512, 4, 15
 #: Tokens and documents whose vectors are hashed at once.
-PORTION, GROUP = 1 << 18, 512
+PORTION, GROUP = 1 << 17, 256
+#: Words whose ids a Python worker keeps.
+CACHED = 1 << 19
 
 POINT = [f"v{k}" for k in range(DIMS)]
 
@@ -38,23 +40,30 @@ def projection() -> np.ndarray:
     return np.random.default_rng(12).normal(size=(BUCKETS, DIMS))
 
 
-def hashed_points(ids: list[np.ndarray], matrix: np.ndarray) -> np.ndarray:
+def hashed_points(ids: list[np.ndarray], matrix: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """The projections of documents, given as token ids.
 
     A token adds to one bucket with a sign, both by hash; a document's vector holds logarithms
-    of the bucket sums' sizes, at unit length. No tokens give the zero vector.
+    of the bucket sums' sizes, at unit length. No tokens give the zero vector. ``slots`` has the
+    bucket of each id, or its complement where the sign is negative.
     """
     sizes = np.array([len(x) for x in ids])
-    tokens = np.concatenate(ids).astype(np.uint64) if len(ids) else np.zeros(0, np.uint64)
-    codes = mixed(tokens + np.uint64(1))
-    slot = np.repeat(np.arange(len(ids)), sizes) * BUCKETS + (codes % np.uint64(BUCKETS)).astype(np.int64)
-    sign = np.where(codes >> np.uint64(63), 1.0, -1.0)
-    sums = np.bincount(slot, sign, len(ids) * BUCKETS).reshape(len(ids), BUCKETS)
+    slot = slots[np.concatenate(ids)]
+    negative = slot < 0
+    place = np.repeat(np.arange(len(ids)) * 2 * BUCKETS, sizes) + np.where(negative, ~slot + BUCKETS, slot)
+    counts = np.bincount(place, minlength=len(ids) * 2 * BUCKETS).reshape(len(ids), 2, BUCKETS)
+    sums = counts[:, 0] - counts[:, 1]
     vectors = np.sign(sums) * np.log1p(np.abs(sums))
     norm = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
     return (vectors / np.where(norm > 0, norm, 1)) @ matrix
 
 
+def token_slots(size: int) -> np.ndarray:
+    codes = mixed(np.arange(1, size + 1, dtype=np.uint64))
+    slot = (codes % np.uint64(BUCKETS)).astype(np.int32)
+    return np.where(codes >> np.uint64(63), slot, ~slot)
+
+
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     """The index along the Hilbert curve of rows of coordinates below ``2**bits``.
 
@@ -86,16 +95,23 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
+def smaller(encoder: Encoder) -> Encoder:
+    """``encoder`` with caches that leave room for a sort beside it."""
+    if encoder.split is not None:
+        encoder.words.limit, encoder.runs.limit = CACHED, CACHED // 2
+    return encoder
+
+
 def _encoded(tokenizer: str, end_id: int):
     """Documents as ids of two or four bytes with the end id, and their points."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
+        encoder = kept(f"encoder {tokenizer} {CACHED}", lambda: smaller(Encoder(tokenizer)))
         end = np.array([end_id], encoder.kind).tobytes()
-        matrix = projection()
+        matrix, slots = projection(), token_slots(encoder.tokenizer.get_vocab_size())
 
         def points(held: list[bytes]) -> np.ndarray:
-            return hashed_points([np.frombuffer(x, encoder.kind)[:-1] for x in held], matrix)
+            return hashed_points([np.frombuffer(x, encoder.kind)[:-1] for x in held], matrix, slots)
 
         for batch in batches:
             done, size, held = 0, 0, []
@@ -113,17 +129,6 @@ def _encoded(tokenizer: str, end_id: int):
     return encode
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row with its partition and the tokens before it there, in the order of the rows."""
-    part, at = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        n = batch["n"].to_numpy()
-        upto = at + np.cumsum(n)
-        columns = [*(batch[c] for c in ("key", "ids", "n")), pa.array(np.full(len(n), part), pa.int32()), pa.array(upto - n)]
-        yield pa.RecordBatch.from_arrays(columns, names=["key", "ids", "n", "part", "at"])
-        at = int(upto[-1]) if len(n) else at
-
-
 def borders(total: int, length: int) -> tuple[int, list[int]]:
     """Tokens in whole sequences, and where the sequences of the rest end: at powers of two."""
     whole, ends = total - total % length, []
@@ -135,47 +140,21 @@ def borders(total: int, length: int) -> tuple[int, list[int]]:
     return whole, ends
 
 
-def pieces_of(begin: int, n: int, length: int, whole: int, ends: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """``(start, length, sequence, offset)`` of the pieces of ``n`` tokens from ``begin`` on."""
-    at, stop = begin, begin + n
-    while at < stop:
-        if at < whole:
-            sequence = at // length
-            first, last = sequence * length, sequence * length + length
-        else:
-            k = int(np.searchsorted(ends, at, "right"))
-            sequence, first, last = whole // length + k, ends[k - 1] if k else whole, ends[k]
-        last = min(last, stop)
-        yield at - begin, last - at, sequence, at - first
-        at = last
-
-
-PIECES = "doc_tokens long, sequence_id long, offset long, start long, length long, ids binary"
-
-
-def _cutter(length: int):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            taken, out = [], []
-            ids = batch["ids"]
-            ends: dict[int, tuple[int, list[int]]] = {}
-            for i, (begin, n, total) in enumerate(zip(*(batch[c].to_pylist() for c in ("begin", "n", "total")), strict=True)):
-                if total not in ends:
-                    ends[total] = borders(total, length)
-                data = ids[i].as_py()
-                width = len(data) // n
-                for start, size, sequence, offset in pieces_of(begin, n, length, *ends[total]):
-                    taken.append(i)
-                    out.append((n, sequence, offset, start, size, data[start * width : (start + size) * width]))
-            names = [c.split()[0] for c in PIECES.split(", ")]
-            columns = list(zip(*out, strict=True)) or [()] * len(names)
-            kinds = [pa.int64()] * 5 + [pa.binary()]
-            keys = batch["key"].take(pa.array(taken, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [keys, *(pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True))], names=["key", *names]
-            )
-
-    return cut
+def sequences(length: int, whole: int, ends: list[int]):
+    """The sequences that the tokens from ``begin`` on lie in, as structs ``(sequence, first, last)``."""
+    begin, stop = F.col("begin"), F.col("begin") + F.col("n")
+    entry = "array<struct<sequence:long,first:long,last:long>>"
+    number = lambda at: F.floor(at / length)
+    full = F.transform(
+        F.sequence(number(begin), number(F.least(stop, F.lit(whole)) - 1)),
+        lambda k: F.struct(k.alias("sequence"), (k * length).alias("first"), ((k + 1) * length).alias("last")),
+    )
+    rest = [
+        F.struct(*(F.lit(x).cast("long").alias(c) for c, x in (("sequence", whole // length + i), ("first", a), ("last", b))))
+        for i, (a, b) in enumerate(zip([whole, *ends], ends, strict=False))
+    ]
+    met = F.filter(F.array(*rest).cast(entry), lambda s: (s["first"] < stop) & (s["last"] > begin))
+    return F.concat(F.when(begin < whole, full.cast(entry)).otherwise(F.array().cast(entry)), met)
 
 
 def pack(
@@ -201,29 +180,42 @@ def pack(
     known = coded.agg(*moments).first()  # one row
     scale = [(known[f"avg_{v}"] or 0.0, known[f"stddev_pop_{v}"] or 1.0) for v in POINT]
 
-    def on_curve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cells = np.stack([batch[v].to_numpy() for v in POINT], axis=1)
-            cells = (cells - [m for m, _ in scale]) / [s for _, s in scale]
+    @F.pandas_udf("long")
+    def on_curve(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for point in parts:
+            cells = (np.stack(point, axis=1) - [m for m, _ in scale]) / [s for _, s in scale]
             # The logistic curve is near that of a normal distribution: cells get about equal shares.
             cells = np.floor((1 << BITS) / (1 + np.exp(-1.702 * cells))).clip(0, (1 << BITS) - 1)
-            columns = [*(batch[c] for c in ("key", "ids", "n")), pa.array(hilbert(cells, BITS))]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "ids", "n", "curve"])
+            yield pd.Series(hilbert(cells, BITS))
+
+    @F.pandas_udf("long")
+    def before(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        at = 0  # tokens of the rows before, in this task
+        for n in parts:
+            upto = at + n.cumsum()
+            yield upto - n
+            at = int(upto.iloc[-1]) if len(n) else at
 
-    placed = coded.mapInArrow(on_curve, f"key {kind}, ids binary, n long, curve long")
+    placed = coded.select("key", "ids", "n", on_curve(*POINT).alias("curve"))
     # Copies share a place on the curve; the hash divides them among partitions.
     order = ["curve", F.xxhash64("key"), "key", F.xxhash64("ids")]
-    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "ids", "n")
-    ordered = stage_table(ordered.mapInArrow(_places, f"key {kind}, ids binary, n long, part int, at long"), "along-curve")
-
-    parts = ordered.groupBy("part").agg(F.sum("n").alias("tokens"))  # a row per partition
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        "part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"),
-        F.sum("tokens").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = stage_table(ordered.select("key", "ids", "n", F.spark_partition_id().alias("part"), before("n").alias("at")), "along-curve")
+
+    sums = ordered.groupBy("part").agg(F.sum("n").alias("tokens"))  # a row per partition
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = stage_table(sums.withColumn("base", F.coalesce(F.sum("tokens").over(earlier), F.lit(0))), "tokens-before")
+    whole, ends = borders(sums.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0], length)
+    begun = ordered.join(F.broadcast(sums), "part").withColumn("begin", F.col("base") + F.col("at"))
+    piece = begun.select("key", "ids", "n", "begin", F.explode(sequences(length, whole, ends)).alias("s"))
+    first, last = F.greatest("begin", "s.first"), F.least(F.col("begin") + F.col("n"), F.col("s.last"))
+    width = (F.length("ids") / F.col("n")).cast("int")
+    start, size = first - F.col("begin"), last - first
+    return piece.select(
+        F.col("key").alias(key), F.col("n").alias("doc_tokens"), F.col("s.sequence").alias("sequence_id"),
+        (first - F.col("s.first")).alias("offset"), start.alias("start"), size.alias("length"),
+        F.substr("ids", (start * width + 1).cast("int"), (size * width).cast("int")).alias("ids"),
     )
-    begun = ordered.join(F.broadcast(parts), "part").select("key", "ids", "n", (F.col("base") + F.col("at")).alias("begin"), "total")
-    return begun.mapInArrow(_cutter(length), f"key {kind}, {PIECES}").withColumnRenamed("key", key)
 
 
 def checksums(pieces: DataFrame) -> DataFrame:
