@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.operators.similar import MAX_DISTANCE, similar_sets, token_sets
-from tamis.sources.staging import stage_table
+from tamis.operators.similar import MAX_DISTANCE, leaders_of_sets, token_sets
+from tamis.sources.catalogue import stored_once
+from tamis.sources.staging import stage_scope, stage_table, stored_result
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -17,6 +18,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
     )
 
 
+@stored_result("components")
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``; the root is the smallest node.
 
@@ -24,7 +26,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     about log(n) rounds even for long chains. Minima are pre-aggregated and
     stored before they are joined back: both sides of these joins then come from
     plain shuffles, and adaptive execution can split the edges of a hub. Every
-    round is stored, which also keeps the plan short.
+    round is stored, which also keeps the plan short, and removes what it staged
+    on the way; the edges of the round before go with the last of all.
     """
     current = stage_table(
         edges.filter("a <> b")
@@ -35,16 +38,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before, turn = _fingerprint(current), 0
     while True:
         turn += 1
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        low = stage_table(low, f"large-low-{turn}")
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage_table(large.distinct(), f"large-star-{turn}")
-
-        low = stage_table(large.groupBy("u").agg(F.min("v").alias("m")), f"small-low-{turn}")
-        hooked = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = hooked.unionByName(low.withColumnRenamed("m", "v"))
-        current = stage_table(small.distinct(), f"small-star-{turn}")
+        with stage_scope(edges.sparkSession) as scope:
+            both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+            low = stage_table(low, f"large-low-{turn}")
+            large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large = stage_table(large.distinct(), f"large-star-{turn}")
+
+            low = stage_table(large.groupBy("u").agg(F.min("v").alias("m")), f"small-low-{turn}")
+            hooked = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            small = hooked.unionByName(low.withColumnRenamed("m", "v"))
+            current = scope.keep(small.distinct(), f"small-star-{turn}")
 
         after = _fingerprint(current)
         if after == before:
@@ -55,21 +59,25 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def dedupe_clusters(docs: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
-    """``(id, cluster_id)`` for every document ``(id, tokens)``.
+    """``(id, cluster_id)`` for every document ``(id, tokens)``, stored once.
 
     Clusters are the connected components of the near-duplicate relation, so
     chains are merged; ``cluster_id`` is the smallest id. A document without
     tokens is a cluster of its own.
     """
     grouped = token_sets(docs)
-    edges = similar_sets(grouped.sets, max_distance).filter("a <> b").select("a", "b")
-    roots = connected_components(edges)
-    named = grouped.sets.select("set_key", "rep").join(
-        roots.withColumnRenamed("node", "rep"), "rep", "left"
-    )
-    named = stage_table(named.select("set_key", F.coalesce("root", "rep").alias("cluster_id")), "set-clusters")
-    with_text = grouped.documents.join(named, "set_key").select("id", "cluster_id")
-    return with_text.unionByName(grouped.bare.withColumn("cluster_id", F.col("id")))
+
+    def make() -> DataFrame:
+        edges = leaders_of_sets(grouped, max_distance)
+        named = connected_components(edges.filter("a <> b").select("a", "b")).withColumnRenamed("node", "b")
+        # Of every set there is an edge to a leader, itself where it leads.
+        keys = edges.groupBy("set_key").agg(F.min("b").alias("b"))
+        named = keys.join(named, "b", "left").select("set_key", F.coalesce("root", "b").alias("cluster_id"))
+        # Stored, so that the join can split a set that many documents have.
+        joined = grouped.documents.join(stage_table(named, "set-clusters"), "set_key").select("id", "cluster_id")
+        return joined.unionByName(grouped.bare.withColumn("cluster_id", F.col("id")))
+
+    return stored_once(docs, f"clusters-{max_distance}", make)
 
 
 def keep_cluster_heads(records: DataFrame, clusters: DataFrame) -> DataFrame:

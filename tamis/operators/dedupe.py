@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tamis.functions import minhash
 from tamis.functions.tokens import tokenize
+from tamis.sources.catalogue import stored_once
+from tamis.sources.rows import PLACE, first_rows_of, pick_rows
 
 SIGNATURE = [f"m{i}" for i in range(len(minhash.COEFFICIENTS))]
 
@@ -44,33 +46,57 @@ def keep_smallest(df: DataFrame, keys: list[str | Column], columns: list[str]) -
 def keep_signed(signed: DataFrame, payload: list[str]) -> DataFrame:
     """``payload`` of the record with the smallest leading column of every signature.
 
-    ``signed`` comes from ``with_signature``. Only the payload is shuffled, so a caller that
-    needs an id or a length should not pass the text. A record without tokens has no signature
-    and is always kept.
+    ``signed`` comes from ``with_signature``. Only the payload is shuffled, so it should not hold
+    the text. A record without tokens has no signature and is always kept.
     """
     lone = F.when(F.col(SIGNATURE[0]).isNull(), F.col(payload[0]))
     return keep_smallest(signed, [*SIGNATURE, lone.alias("_lone")], payload)
 
 
+def signed_rows(records: DataFrame) -> DataFrame:
+    """``records`` with signature and lengths, stored in one narrow pass.
+
+    All that asks for survivors, their lengths or their texts reads this table. Of a corpus
+    that was signed before in this application, the stored rows are used again.
+    """
+    tokens = tokenize(F.col("main_text"))
+    measured = with_signature(records, tokens).withColumns({
+        "_text_length": F.length("main_text"),
+        "_token_count": F.size(tokens),
+    })
+    return stored_once(measured, "signed", sharded=True)
+
+
+def survivors(signed: DataFrame) -> DataFrame:
+    """``id``, place and lengths of the record with the smallest ``id`` of every signature, stored."""
+    narrow = ["id", *PLACE, "_text_length", "_token_count"]
+    return stored_once(signed, "survivors", lambda: keep_signed(signed, narrow))
+
+
 def dedupe_signature(records: DataFrame) -> DataFrame:
-    """Keep the record with the smallest ``id`` of every five-value signature."""
-    columns = ["id"] + [c for c in records.columns if c != "id"]
-    return keep_signed(with_signature(records), columns).select(*records.columns)
+    """Keep the record with the smallest ``id`` of every five-value signature.
+
+    Signatures and ids decide; the rows that stay are then filtered where they are read.
+    """
+    signed = signed_rows(records)
+    return pick_rows(signed, survivors(signed)).select(*records.columns)
+
+
+def first_survivors(records: DataFrame, n: int) -> DataFrame:
+    """The ``n`` records with the smallest ids that ``dedupe_signature`` keeps."""
+    signed = signed_rows(records)
+    return first_rows_of(signed, survivors(signed), "id", n).select(*records.columns)
 
 
 def dedupe_lengths(records: DataFrame) -> DataFrame:
     """``id, text_length, token_count`` of the records that ``dedupe_signature`` keeps."""
-    tokens = tokenize(F.col("main_text"))
-    signed = with_signature(records, tokens).withColumns({
-        "text_length": F.length("main_text"),
-        "token_count": F.size(tokens),
-    })
-    return keep_signed(signed, ["id", "text_length", "token_count"])
+    kept = survivors(signed_rows(records))
+    return kept.select("id", F.col("_text_length").alias("text_length"), F.col("_token_count").alias("token_count"))
 
 
 def dedupe_ids(records: DataFrame) -> DataFrame:
     """``id`` of the records that ``dedupe_signature`` keeps."""
-    return keep_signed(with_signature(records), ["id"])
+    return survivors(signed_rows(records)).select("id")
 
 
 def hashing_tf(records: DataFrame, buckets: int = TERM_BUCKETS) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.functions import text as X
-from tamis.operators.clean import project_raw, select_main_text
-from tamis.operators.dedupe import SIGNATURE, with_signature
+from tamis.operators.clean import clean_stage
+from tamis.operators.dedupe import first_survivors, signed_rows, survivors
+from tamis.operators.finalize import with_tokens
 
 # Labels of the stages and of the two parts of the corpus.
 STAGES = ("Initial Load", "Stage 1: Cleaned & Filtered", "Stage 2/3: Deduplicated & Final")
@@ -15,23 +16,15 @@ PARTS = ("Final LLM Data", "Records Removed (Noise, Short, Duplicates)")
 
 
 def stage_counts(raw: DataFrame) -> DataFrame:
-    """``initial, cleaned, final`` as one row, from a single scan of the raw records.
+    """``initial, cleaned, final`` as one row.
 
-    Records are reduced to their signature and counted per signature before
-    the shuffle; no text moves.
+    The last two are counts of the stored signed records and survivors, which parquet footers
+    hold; cleaning and signing are done once for all that asks.
     """
-    kept = X.is_long_enough(F.col("main_text"))
-    text = F.when(kept, X.clean_text(F.col("main_text")))
-    chosen = select_main_text(project_raw(raw)).select(
-        F.coalesce(kept, F.lit(False)).alias("kept"), text.alias("main_text")
-    )
-    groups = with_signature(chosen).groupBy("kept", *SIGNATURE).agg(F.count(F.lit(1)).alias("n"))
-    survivors = F.when(F.col(SIGNATURE[0]).isNull(), F.col("n")).otherwise(F.lit(1))
-    return groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("initial"),
-        F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("cleaned"),
-        F.coalesce(F.sum(F.when(F.col("kept"), survivors)), F.lit(0)).alias("final"),
-    )
+    signed = signed_rows(clean_stage(raw))
+    stages = {"initial": raw, "cleaned": signed, "final": survivors(signed)}
+    counts = [df.agg(F.count(F.lit(1))).scalar().alias(name) for name, df in stages.items()]
+    return raw.sparkSession.range(1).select(*counts)
 
 
 def stage_flow(counts: DataFrame) -> DataFrame:
@@ -87,16 +80,18 @@ def clean_report(stage1: DataFrame, min_chars: int = X.MIN_CHARS) -> DataFrame:
     )
 
 
-def side_by_side(raw: DataFrame, stage1: DataFrame, final: DataFrame, rows: int = 10) -> DataFrame:
+def side_by_side(raw: DataFrame, rows: int = 10) -> DataFrame:
     """The first ``rows`` final documents with their text before and after cleaning.
 
-    The sample is chosen first; Spark broadcasts it by the estimate that its
-    row limit gives, so the joins do not shuffle the corpus.
+    The ids are chosen among the survivors, so that only the sampled records are read, cleaned
+    and tokenized; Spark broadcasts them by the estimate that their number gives.
     """
+    cleaned = clean_stage(raw)
+    final = with_tokens(first_survivors(cleaned, rows)).orderBy("id").limit(rows)
     sample = final.select("id", F.col("main_text").alias("final_text"), "tokens")
-    sample = sample.orderBy("id").limit(rows)
-    before = raw.select(F.col("id").cast("string").alias("id"), "title", "content")
-    cleaned = stage1.select("id", F.col("main_text").alias("clean_text"))
-    return cleaned.join(before.join(sample, "id"), "id").select(
+    few = raw.join(sample.select("id"), "id", "left_semi")
+    before = few.select(F.col("id").cast("string").alias("id"), "title", "content")
+    after = clean_stage(few).select("id", F.col("main_text").alias("clean_text"))
+    return after.join(before.join(sample, "id"), "id").select(
         "id", "title", "content", "clean_text", "final_text", "tokens"
     )

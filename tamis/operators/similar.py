@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.functions import minhash
-from tamis.sources.staging import stage_table
+from tamis.sources.catalogue import stored_once
+from tamis.sources.rows import PLACE, pick_rows
+from tamis.sources.staging import stage_scope, stage_table
 
 # Fixed value: largest Jaccard distance of near-duplicates.
 MAX_DISTANCE = 0.1
@@ -27,9 +29,17 @@ BANDS, ROWS = 20, 5
 EPSILON = 1e-9
 
 
+#: Of the band minima of two sets, so many agree in their last byte, or the sets are not compared.
+#: A pair at the greatest distance, 0.1, misses that about once in 10**10 times.
+AGREEING = 65
+
+
 @dataclass(frozen=True)
 class TokenSets:
-    """Stored tables: ``documents(id, set_key)``, ``sets(rep, set_key, hashes, words)``, ``bare(id)``."""
+    """Stored tables: ``documents(id, set_key)``, ``sets(rep, set_key, hashes, words)``, ``bare(id)``.
+
+    ``sets`` has the place of its rows too, so those of a set are found without a shuffle.
+    """
 
     documents: DataFrame
     sets: DataFrame
@@ -41,53 +51,78 @@ def token_sets(docs: DataFrame) -> TokenSets:
 
     ``rep`` is the smallest id of a set. Documents without tokens are similar to nothing; they
     are listed as ``bare``. Sets are compared by ``words``, 64-bit token hashes, and signed by
-    ``hashes``, which any SQL engine can compute. The texts are read once.
+    ``hashes``, which any SQL engine can compute. The texts are read once, in a narrow pass;
+    to find the sets, only keys, ids and places are shuffled, and the arrays of the
+    representatives are picked where they lie.
     """
     words = docs.select("id", F.sort_array(F.array_distinct("tokens")).alias("words"))
-    signed = stage_table(
-        words.select(
-            "id",
-            F.md5(F.array_join("words", " ")).alias("set_key"),
-            F.transform("words", lambda w: F.xxhash64(w)).alias("words"),
-            minhash.distinct_hashes(F.col("words")).alias("hashes"),
-        ),
-        "set-documents",
+    hashed = words.select(
+        "id",
+        F.md5(F.array_join("words", " ")).alias("set_key"),
+        F.transform("words", lambda w: F.xxhash64(w)).alias("words"),
+        minhash.distinct_hashes(F.col("words")).alias("hashes"),
     )
+    signed = stored_once(hashed, "token-sets", sharded=True)
     documents = signed.filter(F.size("words") > 0)
     bare = signed.filter(F.coalesce(F.size("words"), F.lit(0)) == 0).select("id")
-    sets = documents.groupBy("set_key").agg(
-        F.min("id").alias("rep"), F.first("hashes").alias("hashes"), F.first("words").alias("words")
-    )
-    sets = stage_table(sets.select("rep", "set_key", "hashes", "words"), "token-sets")
+    first = F.min(F.struct("id", *PLACE)).alias("first")
+    reps = stored_once(signed, "set-reps", lambda: documents.groupBy("set_key").agg(first).select("first.*"))
+    sets = pick_rows(signed, reps).withColumnRenamed("id", "rep")
     return TokenSets(documents.select("id", "set_key"), sets, bare)
 
 
-def band_values(sets: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(rep, band)``: one row per set and band; ``band`` is a hash of number and minima.
+def band_minima(sets: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(rep, size, m0, m1, ...)``: the minima of each set, aggregated in the task that reads it.
 
-    The minima are plain aggregates over the exploded hashes, combined before the shuffle.
+    A set's rows are unfolded and folded again under its place, which the stored table is
+    divided by: plain aggregates over a hash table, and no exchange.
     """
     pairs = minhash.coefficient_pairs(bands * rows)
-    exploded = sets.select("rep", F.explode("hashes").alias("h"))
+    exploded = sets.select(*PLACE, "rep", F.size("words").alias("size"), F.explode("hashes").alias("h"))
     minima = [F.min(((F.col("h") + 1) * a + b) % minhash.PRIME).alias(f"m{i}") for i, (a, b) in enumerate(pairs)]
-    signed = exploded.groupBy("rep").agg(*minima)
-    values = [
-        F.xxhash64(F.lit(k), *(f"m{i}" for i in range(k * rows, (k + 1) * rows))) for k in range(bands)
-    ]
-    return signed.select("rep", F.explode(F.array(*values)).alias("band"))
+    return exploded.groupBy(*PLACE, "rep", "size").agg(*minima).drop(*PLACE)
+
+
+def signed_sets(sets: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(rep, size, sketch, bands)``, stored: the last byte of each minimum, and the band values.
+
+    A band value is a hash of the band's number and its minima.
+    """
+    names = [f"m{i}" for i in range(bands * rows)]
+    values = [F.xxhash64(F.lit(k), *names[k * rows : (k + 1) * rows]) for k in range(bands)]
+    sketch = F.array(*(F.col(m).bitwiseAND(255).cast("short") for m in names))
+    signed = band_minima(sets, bands, rows).select("rep", "size", sketch.alias("sketch"), F.array(*values).alias("bands"))
+    return stage_table(signed, "bands")
 
 
-def leader_edges(sets: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def leader_edges(signed: DataFrame) -> DataFrame:
     """``(a, b)``: each set ``b`` with the leaders ``a`` of its bands, itself where it leads.
 
     The leaders are stored before they are joined back, so that both sides of that join come
     from plain shuffles and adaptive execution can split a band held by many sets.
     """
-    banded = stage_table(band_values(sets, bands, rows), "bands")
+    banded = signed.select("rep", F.explode("bands").alias("band"))
     leaders = stage_table(banded.groupBy("band").agg(F.min("rep").alias("a")), "band-leaders")
     return banded.join(leaders, "band").select("a", F.col("rep").alias("b")).distinct()
 
 
+def likely_pairs(pairs: DataFrame, signed: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
+    """Those of ``pairs(a, b)`` whose sizes and sketches allow the distance.
+
+    Sets of distance d have sizes of a ratio of at least 1 - d, and about a share of 1 - d of
+    their minima agree. Most pairs are ruled out by these few bytes per set.
+    """
+    side = lambda name, n, sketch: signed.select(F.col("rep").alias(name), F.col("size").alias(n), F.col("sketch").alias(sketch))
+    both = pairs.join(side("a", "_n", "_x"), "a").join(side("b", "_m", "_y"), "b")
+    sized = F.least("_n", "_m") >= F.greatest("_n", "_m") * (1 - max_distance) - EPSILON
+    alike = F.size(F.filter(F.zip_with("_x", "_y", lambda x, y: x == y), lambda same: same))
+    # The same odds for other distances, by standard deviations of the number that agree.
+    n, p = BANDS * ROWS, 1 - max_distance
+    spread = (n * 0.9 * 0.1) ** 0.5
+    needed = n * p - (n * 0.9 - AGREEING) / spread * max((n * p * (1 - p)) ** 0.5, spread)
+    return both.filter(sized & (alike >= needed)).select("a", "b")
+
+
 def with_distance(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``(a, b, distance)``: the exact Jaccard distance of sets named by their representatives."""
     left = sets.select(F.col("rep").alias("a"), F.col("words").alias("x"))
@@ -99,10 +134,13 @@ def with_distance(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similar_sets(sets: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
     """Verified leader edges ``(a, b, distance)``, stored; a set that leads itself has distance 0."""
-    edges = stage_table(leader_edges(sets), "leader-edges")
-    own = edges.filter("a = b").withColumn("distance", F.lit(0.0))
-    measured = with_distance(edges.filter("a <> b"), sets).filter(F.col("distance") <= max_distance + EPSILON)
-    return stage_table(own.unionByName(measured), "similar-sets")
+    with stage_scope(sets.sparkSession) as scope:
+        signed = signed_sets(sets)
+        edges = stage_table(leader_edges(signed), "leader-edges")
+        own = edges.filter("a = b").withColumn("distance", F.lit(0.0))
+        likely = stage_table(likely_pairs(edges.filter("a <> b"), signed, max_distance), "likely-pairs")
+        measured = with_distance(likely, sets).filter(F.col("distance") <= max_distance + EPSILON)
+        return scope.keep(own.unionByName(measured), "similar-sets")
 
 
 def near_dup_pairs(docs: DataFrame, max_distance: float = MAX_DISTANCE) -> DataFrame:
@@ -112,8 +150,16 @@ def near_dup_pairs(docs: DataFrame, max_distance: float = MAX_DISTANCE) -> DataF
     of a group, all members are paired with common leaders.
     """
     grouped = token_sets(docs)
-    edges = similar_sets(grouped.sets, max_distance)
-    edges = edges.join(grouped.sets.select(F.col("rep").alias("b"), "set_key"), "b")
-    edges = stage_table(edges.select("set_key", "a", "distance"), "leaders-of-sets")
+    edges = leaders_of_sets(grouped, max_distance)
     pairs = grouped.documents.join(edges, "set_key").filter("a <> id")
     return pairs.select(F.col("a").alias("id_a"), F.col("id").alias("id_b"), "distance")
+
+
+def leaders_of_sets(grouped: TokenSets, max_distance: float = MAX_DISTANCE) -> DataFrame:
+    """``(set_key, a, b, distance)``: the verified leader edges with the key of the led set, stored once."""
+
+    def make() -> DataFrame:
+        edges = similar_sets(grouped.sets, max_distance)
+        return edges.join(grouped.sets.select(F.col("rep").alias("b"), "set_key"), "b")
+
+    return stored_once(grouped.documents, f"similar-sets-{max_distance}", make)

@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 
 from tamis.functions.tokens import STOP_WORDS, exploded, ngrams
 from tamis.operators.finalize import doc_lengths
+from tamis.sources.staging import stage_scope, stage_table
 
 # Rows of the token and n-gram reports, bins of the histogram.
 TOP_TOKENS = 20
 TOP_NGRAMS = 10
 HISTOGRAM_BINS = 50
 
+#: Buckets that values are counted by, and how many of the fullest are counted exactly at first.
+BUCKETS, FIRST = 1 << 18, 64
+
 
 def corpus_stats(lengths: DataFrame) -> DataFrame:
     return lengths.agg(F.count("id").alias("total_records"), F.avg("text_length").alias("mean_text_length"))
@@ -32,10 +36,33 @@ def length_metrics(lengths: DataFrame) -> DataFrame:
     )
 
 
-def top_values(values: DataFrame, name: str, k: int) -> DataFrame:
-    """The ``k`` most frequent values; equal counts are ordered by the value."""
-    counts = values.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
-    return counts.orderBy(F.desc("n"), F.asc(name)).limit(k)
+def _counted(hashed: DataFrame, buckets: DataFrame, name: str, k: int) -> DataFrame:
+    """The ``k`` most frequent values of the given buckets, counted exactly, stored."""
+    inside = hashed.join(F.broadcast(buckets.select("_bucket")), "_bucket")  # a number per bucket at most
+    counts = inside.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    return stage_table(counts.orderBy(F.desc("n"), F.asc(name)).limit(k), "top-values")
+
+
+def top_values(values: DataFrame, name: str, k: int, buckets: int = BUCKETS, first: int = FIRST) -> DataFrame:
+    """The ``k`` most frequent values; equal counts are ordered by the value.
+
+    Exact, without a shuffle of all distinct values. Values are first counted by hash, a
+    number per bucket. No value is more frequent than its bucket, so once ``k`` values of the
+    fullest buckets are counted exactly, the least of these ``k`` counts rules out every bucket
+    below it. Where other buckets reach that count, their values are counted too: with all
+    counts alike that is every value, and the result is as exact.
+    """
+    present = values.filter(F.col(name).isNotNull())
+    hashed = present.withColumn("_bucket", F.pmod(F.xxhash64(name), F.lit(buckets)))
+    with stage_scope(values.sparkSession) as scope:
+        sums = stage_table(hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")), "bucket-counts")
+        top = _counted(hashed, sums.orderBy(F.desc("n"), "_bucket").limit(first), name, k)
+        n, least = top.agg(F.count(F.lit(1)), F.min("n")).first()
+        rivals = sums.filter(F.col("n") >= (least if n == k else 0))
+        if rivals.count() > first:
+            top = _counted(hashed, rivals, name, k)
+        found = scope.keep(top, "top-values")
+    return found.orderBy(F.desc("n"), F.asc(name)).limit(k)
 
 
 def top_tokens(final: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
@@ -111,15 +138,19 @@ def token_box_stats(lengths: DataFrame) -> DataFrame:
     )
 
 
-def analysis_report(final: DataFrame, k: int = TOP_TOKENS) -> DataFrame:
-    """One row: records, mean text length to two decimals, top tokens in order."""
+def analysis_report(final: DataFrame, k: int = TOP_TOKENS, lengths: DataFrame | None = None) -> DataFrame:
+    """One row: records, mean text length to two decimals, top tokens in order.
+
+    With ``lengths(id, text_length, ...)`` of the final records their texts are read for the
+    tokens only.
+    """
     top = top_tokens(final, k).agg(
         F.collect_list(F.struct(F.negative("n").alias("order"), "token", "n")).alias("top")
     )
     ordered = F.transform(
         F.array_sort("top"), lambda row: F.struct(row["token"].alias("token"), row["n"].alias("count"))
     )
-    return corpus_stats(doc_lengths(final)).select(
+    return corpus_stats(doc_lengths(final) if lengths is None else lengths).select(
         "total_records",
         F.round("mean_text_length", 2).alias("mean_text_length"),
         top.select(ordered).scalar().alias("top_tokens"),

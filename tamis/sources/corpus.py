@@ -22,11 +22,19 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def read_corpus(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] = RAW_COLUMNS
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Sequence[str] = RAW_COLUMNS,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Read one parquet directory or several as one scan."""
+    """Read one parquet directory or several as one scan.
+
+    Spark cannot divide a row group among tasks. A corpus of few files with one row group each
+    can be dealt to ``partitions`` tasks, at the price of one shuffle of its rows.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    return require_columns(spark.read.parquet(*paths), columns)
+    corpus = require_columns(spark.read.parquet(*paths), columns)
+    return corpus.repartition(partitions) if partitions else corpus
 
 
 def write_stage(df: DataFrame, path: str) -> None:

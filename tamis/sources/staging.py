@@ -1,15 +1,19 @@
-"""Intermediate tables in the shared checkpoint folder."""
+"""Intermediate tables in the shared checkpoint folder, and how long they live."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, with the scheme of its file system.
 
     Only a local-mode session may go without the setting; it then gets a fresh
     folder of its own. On a cluster a machine-local folder would be lost with
@@ -18,7 +22,7 @@ def staging_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if named:
-        return shared_folder(named, context.master)
+        return shared_folder(qualified(spark, named), context.master)
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
@@ -26,11 +30,16 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark understands it: one without a scheme lies on the default file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def shared_folder(path: str, master: str) -> str:
     """``path``, unless it lies on one machine of a cluster.
 
-    A folder without a scheme is taken as the cluster's default file system has it. ``file:``
-    is accepted for a master that runs all its executors on one machine only.
+    ``file:`` is accepted for a master that runs all its executors on one machine only.
     """
     one_machine = master.startswith("local")  # local[n] and local-cluster[n,c,m]
     if path.startswith("file:") and not one_machine:
@@ -43,14 +52,68 @@ def owned_folder(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scope:
+    """The tables staged by one step."""
+
+    def __init__(self, outer: Scope | None):
+        self.outer, self.paths = outer, []
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Store ``df`` as a table that outlives this scope and belongs to the one around it."""
+        return stage_table(df, name, self.outer)
+
+
+_SCOPE: ContextVar[Scope | None] = ContextVar("scope", default=None)
+_HERE = object()
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[Scope]:
+    """Tables staged inside are removed at the end, also after an error.
+
+    Only what ``keep`` stored may be used afterwards. Without a scope, tables stay until the
+    folder of the application is removed.
+    """
+    scope = Scope(_SCOPE.get())
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        for path in scope.paths:
+            remove_folder(spark, path)
+
+
+def stored_result(name: str) -> Callable:
+    """Decorates an operator: its result is stored, and the tables it staged on the way are removed."""
+
+    def decorate(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(operator)
+        def run(first: DataFrame, *args, **options) -> DataFrame:
+            with stage_scope(first.sparkSession) as scope:
+                return scope.keep(operator(first, *args, **options), name)
+
+        return run
+
+    return decorate
+
+
+def stage_table(df: DataFrame, name: str, scope: Scope | None = _HERE) -> DataFrame:
     """Write ``df`` to the staging folder and return it as a scan of what was written.
 
     This cuts the lineage and survives lost executors. Unlike a checkpointed
     RDD the table stays columnar, so later steps read only the columns they use.
-    Tables lie in one folder per application, to be removed with it.
+    Tables lie in one folder per application; inside a scope they end with it.
     """
     spark = df.sparkSession
     path = owned_folder(spark, name)
+    scope = _SCOPE.get() if scope is _HERE else scope
+    if scope is not None:
+        scope.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.sources.corpus import read_corpus
+
+#: Session setting: into how many partitions the raw records are dealt; as they are, if unset.
+PARTITIONS = "spark.tamis.testtables.partitions"
+
 
 def documents_as_raw(documents: DataFrame) -> DataFrame:
     """``documents`` as raw records, with noise for the cleaning steps.
@@ -33,7 +38,9 @@ def documents_as_raw(documents: DataFrame) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Raw records; each test table is one row group, which ``PARTITIONS`` can divide."""
+    partitions = int(spark.conf.get(PARTITIONS, "0")) or None
+    documents = read_corpus(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text"], partitions)
     return documents_as_raw(documents.select("doc_id", "text"))
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tamis.operators import clean, clusters, dedupe, similar, stats
-from tamis.sources import testtables
+from tamis.sources import catalogue, testtables
+from tamis.sources.rows import PLACE
 
 SF = "/root/testdata/sf0.001"
 LAZY = [
@@ -40,18 +41,50 @@ LENGTH_QUERIES = ["doc_lengths", "corpus_stats", "length_metrics", "token_histog
 
 @pytest.mark.parametrize("name", LENGTH_QUERIES)
 def test_lengths_move_no_text(spark, name):
+    """Nor do they read it, once the records are signed."""
     text = plan(entry.queries()[name](spark, SF))
-    below = [part.split("\n\n")[0] for part in text.split("Exchange\n")[1:]]
-    assert below and not any("main_text" in part for part in below)
-    assert not re.search(r"partial_min\(struct\([^)]*main_text", text)
+    assert "main_text" not in text and "doc_id" not in text
 
 
-def test_split_moves_ids_only(spark, monkeypatch):
+def moved(text):
+    """The columns that exchanges of a formatted plan put out, broadcasts included."""
+    parts = re.findall(r"\(\d+\) \w*Exchange\nInput \[\d+\]: \[(.*)\]", text)
+    assert len(parts) == len(re.findall(r"\(\d+\) \w*Exchange\n", text))
+    return " ".join(parts)
+
+
+PICKED = ["dedupe_signature", "final_dataset", "sft_format", "sft_text", "sft_dropped", "prompt_render", "token_budget"]
+
+
+@pytest.mark.parametrize("name", PICKED)
+def test_no_text_moves_to_drop_duplicates(spark, name):
+    text = plan(entry.queries()[name](spark, SF))
+    assert "ShuffledHashJoin" in text and "Bucketed: true" in text
+    assert not re.search(r"main_text|title|tokens|\btext", moved(text))
+    sorted_ = re.findall(r"\(\d+\) Sort\nInput \[\d+\]: \[(.*)\]", text)
+    assert not any("main_text" in columns for columns in sorted_) and "SortMergeJoin" not in text
+
+
+def test_signing_moves_and_sorts_nothing(spark, monkeypatch):
+    catalogue.clear(spark)
     plans = []
-    stage = entry.stage_table
-    monkeypatch.setattr(entry, "stage_table", lambda df, name: (plans.append(plan(df)), stage(df, name))[1])
-    entry.queries()["sft_split"](spark, SF)
-    assert plans and not any(re.search(r"partial_min\(struct\([^)]*main_text", text) for text in plans)
+    store = catalogue.store_rows
+    monkeypatch.setattr(catalogue, "store_rows", lambda df, name: (plans.append(plan(df)), store(df, name))[1])
+    entry.queries()["dedupe_signature"](spark, SF)
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Sort" not in plans[0]
+
+
+def test_survivors_are_found_by_ids(spark):
+    catalogue.clear(spark)
+    signed = dedupe.signed_rows(entry._cleaned(spark, SF))
+    payload = ["id", *PLACE, "_text_length", "_token_count"]
+    assert "main_text" not in plan(dedupe.keep_signed(signed, payload))
+
+
+def test_bands_are_computed_where_the_sets_lie(spark):
+    sets = similar.token_sets(entry._words(spark, SF)).sets
+    text = plan(similar.band_minima(sets))
+    assert not re.search(r"words|hashes|\bm\d", moved(text))
 
 
 def test_a_hub_is_split(spark, monkeypatch):
@@ -93,20 +126,38 @@ def test_top_k_is_not_a_full_sort(spark, name):
     assert "rangepartitioning" not in text
 
 
-def test_statistics_read_two_columns(spark):
-    text = plan(entry.queries()["top_tokens"](spark, SF))
-    assert re.findall(r"ReadSchema: (.*)", text) == ["struct<doc_id:bigint,text:string>"]
+def counting_plans(spark, monkeypatch, name):
+    plans = []
+    stage = stats.stage_table
+    monkeypatch.setattr(stats, "stage_table", lambda df, what: (plans.append(plan(df)), stage(df, what))[1])
+    entry.queries()[name](spark, SF)
+    return plans
+
+
+def test_statistics_read_the_text_only(spark, monkeypatch):
+    for text in counting_plans(spark, monkeypatch, "top_tokens"):
+        read = set(re.findall(r"ReadSchema: (.*)", text))
+        assert "struct<main_text:string,_shard:int,_row:bigint>" in read
+        assert not any("doc_id" in schema or "title" in schema for schema in read)
+
+
+def test_tokens_are_split_once(spark, monkeypatch):
+    for text in counting_plans(spark, monkeypatch, "top_tokens"):
+        steps = re.findall(r"\n\(\d+\) ([\w ]+)", text)
+        unfolded = steps.index("Generate")
+        assert "Filter" not in steps[steps.index("ShuffledHashJoin") : unfolded]
 
 
-def test_tokens_are_split_once(spark):
-    text = plan(stats.top_tokens(entry._final_text(spark, SF)))
-    final = text[text.rindex("SortAggregate") :]
-    assert "Filter" not in final.split("Generate")[0]
+def test_no_table_of_all_ngrams_is_shuffled(spark, monkeypatch):
+    """The first pass sends bucket numbers, the second the values of few buckets."""
+    first, second = counting_plans(spark, monkeypatch, "top_trigrams")[:2]
+    assert "ngram" not in moved(first)
+    assert re.search(r"BroadcastHashJoin[^(]*\n(?:.*\n)*?.*_bucket", second)
 
 
-def test_dedup_has_one_wide_shuffle(spark):
+def test_dedup_of_no_records(spark):
     records = clean.clean_stage(spark.createDataFrame([], "id string, title string, content string, contents string, PMID bigint"))
-    assert plan(dedupe.dedupe_signature(records)).count("ENSURE_REQUIREMENTS") == 1
+    assert dedupe.dedupe_signature(records).isEmpty()
 
 
 def test_search_has_no_cross_join(spark, monkeypatch):
@@ -123,6 +174,7 @@ def test_search_has_no_cross_join(spark, monkeypatch):
 
     recording(similar)
     recording(clusters)
+    catalogue.clear(spark)
     clusters.dedupe_clusters(entry._words(spark, SF))
     assert len(plans) > 4
     for text in plans:

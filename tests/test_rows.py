@@ -1,0 +1,164 @@
+"""Stored rows picked in place, results stored once, and tables with a lifetime."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tamis.operators import clusters, dedupe, similar
+from tamis.sources import catalogue, rows, staging
+
+
+def files_of(spark):
+    owned = Path(staging.staging_root(spark).removeprefix("file:").replace("//", "/")) / spark.sparkContext.applicationId
+    return {str(p) for p in owned.rglob("*.parquet")} if owned.exists() else set()
+
+
+@pytest.mark.parametrize("tasks", [1, 5, 19])
+def test_picked_rows_are_the_chosen_ones(spark, tasks):
+    df = spark.range(0, 100_000, 1, tasks).select("id", F.concat(F.lit("text "), "id").alias("x"))
+    stored = rows.store_rows(df, "numbers")
+    assert stored.count() == 100_000 and stored.select(rows.ROW).distinct().count() == 100_000
+    assert stored.select(rows.SHARD).distinct().count() == min(tasks, 8)
+    for condition in ("id % 7 = 3", "id = 32768", "id < 0", "true"):
+        picked = rows.pick_rows(stored, stored.filter(condition).select(*rows.PLACE))
+        assert sorted(r.id for r in picked.select("id").collect()) == [r.id for r in df.filter(condition).orderBy("id").collect()]
+    rows.drop_rows(spark, stored)
+
+
+def test_a_task_writes_one_file(spark):
+    stored = rows.store_rows(spark.range(0, 5000, 1, 6).withColumn("x", F.lit("y")), "files")
+    assert len(stored.inputFiles()) == 6
+    numbers = rows.shard_numbers(8)
+    buckets = spark.createDataFrame([(n,) for n in numbers], "n int").select(F.pmod(F.hash("n"), F.lit(8))).collect()
+    assert [r[0] for r in buckets] == list(range(8))
+    rows.drop_rows(spark, stored)
+
+
+def test_settings_are_put_back(spark):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    rows.drop_rows(spark, rows.store_rows(spark.range(3), "three"))
+    assert spark.conf.get(key) == before
+
+
+def test_the_first_rows_are_looked_up(spark):
+    stored = rows.store_rows(spark.range(0, 1000, 1, 3).select(F.format_string("%04d", 999 - F.col("id")).alias("id")), "look")
+    chosen = stored.filter("id % 3 = 1")
+    found = rows.first_rows_of(stored, chosen, "id", 4)
+    assert sorted(r.id for r in found.collect()) == ["0001", "0004", "0007", "0010"]
+    rows.drop_rows(spark, stored)
+
+
+def source(spark, path, parameter=1):
+    return spark.read.parquet(path).select("id", F.transform(F.array("id"), lambda x: x * parameter).alias("y"))
+
+
+def test_a_result_is_stored_once(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(10).write.parquet(path)
+    made = []
+
+    def make(df):
+        made.append(1)
+        return df.withColumn("z", F.lit(1))
+
+    get = lambda parameter=1, name="z": catalogue.stored_once(
+        source(spark, path, parameter), name, lambda: make(source(spark, path, parameter))
+    )
+    assert get() is get() and len(made) == 1
+    assert get(2) is not get() and len(made) == 2  # another parameter is another plan
+    assert get(name="other") is not get() and len(made) == 3
+
+
+def test_changed_files_are_read_again(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(10).write.parquet(path)
+    first = catalogue.stored_once(source(spark, path), "changing", sharded=True)
+    assert catalogue.stored_once(source(spark, path), "changing", sharded=True) is first
+    before = set(first.inputFiles())
+    spark.range(20).write.mode("overwrite").parquet(path)
+    second = catalogue.stored_once(source(spark, path), "changing", sharded=True)
+    assert second.count() == 20
+    assert not any(Path(f.removeprefix("file:").replace("///", "/")).exists() for f in before)
+
+
+def test_random_results_are_not_found_again(spark):
+    df = spark.range(5).withColumn("r", F.rand())
+    assert catalogue.stored_once(df, "random") is not catalogue.stored_once(df, "random")
+
+
+def test_one_pass_signs_for_all(spark, monkeypatch, tmp_path):
+    """Survivors, lengths, ids and texts of one corpus come from one stored pass."""
+    path = str(tmp_path / "records")
+    spark.range(200).select(
+        F.format_string("%03d", "id").alias("id"), F.lit("t").alias("title"), F.lit("1").alias("PMID"),
+        F.concat(F.lit("some words "), (F.col("id") % 50).cast("string")).alias("main_text"),
+    ).write.parquet(path)
+    stored = []
+    store = catalogue.store_rows
+    monkeypatch.setattr(catalogue, "store_rows", lambda df, name: (stored.append(name), store(df, name))[1])
+    read = lambda: spark.read.parquet(path)
+    n = dedupe.dedupe_signature(read()).count()
+    assert dedupe.dedupe_lengths(read()).count() == dedupe.dedupe_ids(read()).count() == n
+    assert dedupe.first_survivors(read(), 3).count() == 3
+    assert stored == ["signed"]
+
+
+def test_a_scope_removes_what_it_staged(spark):
+    before = files_of(spark)
+    with staging.stage_scope(spark) as scope:
+        a = staging.stage_table(spark.range(5), "a")
+        with staging.stage_scope(spark) as inner:
+            b = inner.keep(staging.stage_table(a, "b"), "kept")
+        assert b.count() == 5
+        result = scope.keep(b, "result")
+    assert result.count() == 5
+    left = files_of(spark) - before
+    assert left and all("/result-" in f for f in left)
+
+
+def test_a_scope_ends_after_an_error(spark):
+    before = files_of(spark)
+    with pytest.raises(ValueError, match="no"), staging.stage_scope(spark):
+        staging.stage_table(spark.range(5), "a")
+        raise ValueError("no")
+    assert files_of(spark) == before
+
+
+def test_components_leave_their_result_only(spark):
+    before = files_of(spark)
+    edges = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = clusters.connected_components(edges)
+    assert {r.root for r in found.collect()} == {0} and found.count() == 61
+    left = files_of(spark) - before
+    assert left and all("/components-" in f for f in left)
+
+
+def test_clusters_leave_stored_results_only(spark, tmp_path):
+    catalogue.clear(spark)
+    before = files_of(spark)
+    path = str(tmp_path / "docs")
+    words = F.array(*(F.concat(F.lit(f"w{k}-"), (F.col("id") % 40).cast("string")) for k in range(12)))
+    spark.range(120).select(F.format_string("%03d", "id").alias("id"), words.alias("tokens")).write.parquet(path)
+    found = clusters.dedupe_clusters(spark.read.parquet(path))
+    assert found.select("cluster_id").distinct().count() == 40
+    kinds = {f.split("/")[-2].rsplit("-", 1)[0] for f in files_of(spark) - before}
+    assert kinds == {"token-sets", "set-reps", "similar-sets-0.1", "clusters-0.1"}
+    catalogue.clear(spark)
+    assert files_of(spark) == before
+
+
+def test_few_words_are_fetched(spark):
+    """Of pairs that share a band, sizes and sketches rule out the unlike ones before any set is fetched."""
+    base = [f"t{i}" for i in range(200)]
+    docs = [(f"{i:04d}", [f"own{i}-{k}" if (k * 7 + i) % 10 < 3 else w for k, w in enumerate(base)]) for i in range(400)]
+    docs += [(f"x{i}", [*base[:195], *(f"x{i}-{k}" for k in range(5))]) for i in range(40)]
+    df = spark.createDataFrame(docs, "id string, tokens array<string>")
+    sets = similar.token_sets(df).sets
+    signed = similar.signed_sets(sets)
+    edges = similar.leader_edges(signed).filter("a <> b")
+    likely = similar.likely_pairs(edges, signed)
+    near = lambda pairs: {tuple(r) for r in similar.with_distance(pairs, sets).filter("distance <= 0.1").collect()}
+    assert near(likely) == near(edges)
+    assert edges.count() > 10 * likely.count()

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tamis.operators import finalize, reports, stats
 
@@ -92,3 +93,31 @@ def test_counts_in_one_pass(spark):
     # records 1 and 2 hold the same words; 5 and 6 are both empty after cleaning
     assert tuple(reports.stage_counts(raw).first()) == (6, 4, 2)
     assert tuple(reports.stage_counts(raw.limit(0)).first()) == (0, 0, 0)
+
+
+@pytest.mark.parametrize(("buckets", "first"), [(1 << 18, 64), (4, 1), (64, 3), (1, 1)])
+def test_top_values_are_exact_for_any_buckets(spark, buckets, first):
+    """Also with ties everywhere, and where the most frequent value shares a bucket with many rare ones."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(buckets)
+    common = [f"c{i}" for i in range(30) for _ in range(40 - i // 3)]
+    for values in (common + [f"r{i}" for i in range(2000)], [f"t{i}" for i in range(500)], ["a", "b"], [None], []):
+        rng.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        counts = Counter(v for v in values if v is not None)
+        wanted = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:10]
+        assert [tuple(r) for r in stats.top_values(df, "v", 10, buckets, first).collect()] == wanted
+
+
+def test_few_values_are_counted_exactly(spark, monkeypatch):
+    """The second pass counts the values of the fullest buckets only."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 40).otherwise(F.col("id")).cast("string").alias("v"))
+    asked = []
+    counted = stats._counted
+    monkeypatch.setattr(
+        stats, "_counted", lambda hashed, b, *rest: (asked.append(hashed.join(b, "_bucket").select("v").distinct().count()), counted(hashed, b, *rest))[1]
+    )
+    stats.top_values(df, "v", 10)
+    assert len(asked) == 1 and asked[0] < 400
