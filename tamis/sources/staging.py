@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -57,6 +58,18 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Remove the tables at ``paths`` and the shuffle files of the steps that wrote them.
+
+    Spark drops a shuffle's files when the driver's garbage collection finds that nothing refers
+    to it any more, which may be half an hour later; here it is asked to look.
+    """
+    for path in paths:
+        remove_folder(spark, path)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class Scope:
     """The tables staged by one step."""
 
@@ -85,8 +98,8 @@ def stage_scope(spark: SparkSession) -> Iterator[Scope]:
         yield scope
     finally:
         _SCOPE.reset(token)
-        for path in scope.paths:
-            remove_folder(spark, path)
+        if scope.paths:
+            release(spark, scope.paths)
 
 
 def stored_result(name: str) -> Callable:
