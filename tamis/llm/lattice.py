@@ -23,15 +23,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.llm.blockwise import read_block, scanned, with_block, write_by_block
-from tamis.sources.staging import stage_table
+from tamis.sources.staging import session_setting, stage_scope, stage_table
 
 MARK = "▁"
-#: Longer runs of letters (or of other characters) are cut; no piece is nearly as long.
+#: Longer words, which hardly recur, are folded in the task that holds their text.
 LONGEST = 128
-HELD_WORDS, HELD_SEGMENTS = 600_000, 100_000
+#: Segments that a task collects before it asks for their words, and keeps the ids of.
+HELD_WORDS, HELD_SEGMENTS = 50_000, 100_000
+#: Words whose edges a task groups at once.
+WORDS = 20_000
 
 # Runs in which all pieces of the table lie: letters, or anything else, after at most one mark.
-SPLIT = rf"{MARK}?[\p{{L}}\p{{M}}]{{1,{LONGEST}}}|{MARK}?[^\p{{L}}\p{{M}}{MARK}\n]{{1,{LONGEST}}}|{MARK}|\n"
+SPLIT = rf"{MARK}?[\p{{L}}\p{{M}}]+|{MARK}?[^\p{{L}}\p{{M}}{MARK}\n]+|{MARK}|\n"
 
 
 def read_pieces(path: str) -> tuple[list[tuple[str, int, float]], list[int]]:
@@ -52,6 +55,11 @@ def read_pieces(path: str) -> tuple[list[tuple[str, int, float]], list[int]]:
     return pieces, [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
 
 
+def bounds(pieces: list[tuple[str, int, float]]) -> tuple[int, float]:
+    """Characters of the longest piece, and the score of a character that no piece covers."""
+    return max((len(p) for p, _, _ in pieces), default=1), min((s for _, _, s in pieces if s > -1e8), default=0.0) - 10
+
+
 class Cutter:
     """Texts as words; ``None`` stands for a literal mark, which is spelled in bytes.
 
@@ -88,6 +96,7 @@ def _asker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[pa.RecordBatch]:
         for block, segments in held.items():
             words = {word for segment in segments for word in cutter.cut(segment)} - {None, "\n"}
+            words = {word for word in words if len(word) <= LONGEST}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block] * len(words), pa.int64()), pa.array(list(words), pa.string())], names=["block", "word"]
             )
@@ -161,6 +170,8 @@ class Assembler:
         self.byte_ids = byte_ids
         self.bytes_of: dict[int, bytes] = {i: p.replace(MARK, " ").encode() for p, i, _ in pieces}
         self.bytes_of |= {i: bytes([b]) for b, i in enumerate(byte_ids)}
+        self.scores = {p: (score, i) for p, i, score in pieces}
+        self.longest, self.unknown = bounds(pieces)
         self.cutter = Cutter()
         self.learn(None)
 
@@ -190,9 +201,34 @@ class Assembler:
         self.starts = np.concatenate(([0], ends[:-1]))
         self.coded: dict[str, bytes] = {}
 
+    def fold(self, word: str) -> list[int]:
+        """The best path of a long word: the same recursion, over the word as a whole."""
+        best, start, last = np.full(len(word) + 1, -np.inf), [0] * (len(word) + 1), [0] * (len(word) + 1)
+        best[0] = 0.0
+        for end in range(1, len(word) + 1):
+            for begin in range(max(0, end - self.longest), end):
+                piece = word[begin:end]
+                found = self.scores.get(piece)
+                if found is None:
+                    if begin < end - 1:
+                        continue
+                    found = (self.unknown, -1 - ord(piece))
+                if best[begin] + found[0] > best[end]:
+                    best[end], start[end], last[end] = best[begin] + found[0], begin, found[1]
+        path, end = [], len(word)
+        while end:
+            path.append(last[end])
+            end = start[end]
+        return [i for v in reversed(path) for i in (self.spelled(chr(-1 - v)) if v < 0 else [v])]
+
+    def word_ids(self, word: str | None) -> bytes:
+        if word is not None and len(word) > LONGEST:
+            return np.array(self.fold(word), "<i4").tobytes()
+        row = self.number[word]
+        return self.values[self.starts[row] : self.ends[row]].astype("<i4").tobytes()
+
     def segment_ids(self, segment: str) -> bytes:
-        rows = [self.number[word] for word in self.cutter.cut(segment)]
-        coded = b"".join(self.values[self.starts[r] : self.ends[r]].astype("<i4").tobytes() for r in rows)
+        coded = b"".join(map(self.word_ids, self.cutter.cut(segment)))
         if len(self.coded) >= HELD_SEGMENTS:
             self.coded.clear()
         self.coded[segment] = coded
@@ -243,15 +279,21 @@ def encode(
     """
     spark, docs = docs.sparkSession, scanned(docs)
     pieces, byte_ids = read_pieces(model)
-    longest = max((len(p) for p, _, _ in pieces), default=1)
-    unknown = min((s for p, _, s in pieces if s > -1e8), default=0.0) - 10
+    longest, unknown = bounds(pieces)
     table = piece_frame(spark, pieces)
     kind = dict(docs.dtypes)[key]
     blocked = with_block(docs.select(F.col(key).alias("key"), F.col(text).alias("text")))
-    asked = blocked.select("block", "text").mapInArrow(_asker, "block long, word string")
-    asked = stage_table(asked, "asked-words")
-    segmented = stage_table(segment(asked.select("word").distinct(), table, longest, unknown), "segmented")
-    answers = write_by_block(asked.join(segmented, "word").select("block", "word", "ids"), docs)
+    with stage_scope(spark):
+        asked = blocked.select("block", "text").mapInArrow(_asker, "block long, word string")
+        asked = stage_table(asked, "asked-words")
+        with stage_scope(spark) as scope:
+            words = stage_table(asked.select("word").distinct(), "distinct-words")
+            words = words.repartition(-(-words.count() // WORDS) or 1, "word")
+            # A task's words fit the hash table of the aggregate; by default Spark sorts all edges
+            # from the 128th word on, and spills them.
+            with session_setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(4 * WORDS)):
+                segmented = scope.keep(segment(words, table, longest, unknown), "segmented")
+        answers = write_by_block(asked.join(segmented, "word").select("block", "word", "ids"), docs)
     shared = spark.sparkContext.broadcast((pieces, byte_ids))
     out = "ids_crc32 long" if digest else "ids array<int>"
     encoded = blocked.mapInArrow(_encoder(shared, answers, digest), f"key {kind}, n_pieces long, {out}, exact boolean")
