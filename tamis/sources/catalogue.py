@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ class Entry:
     name: str
     plan: DataFrame
     files: tuple
-    table: DataFrame
+    made: Any
     remove: Callable[[], None]
 
 
@@ -41,37 +42,46 @@ def files_read(df: DataFrame) -> tuple:
     return tuple(listed.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(mark)).first())
 
 
-def stored_once(
-    source: DataFrame, name: str, make: Callable[[], DataFrame] | None = None, sharded: bool = False
-) -> DataFrame:
-    """What ``make`` gives, ``source`` itself by default, stored; read where it was stored before.
-
-    What ``make`` stages on the way is removed once its result is stored.
+def made_once(source: DataFrame, name: str, make: Callable[[], tuple[Any, Callable[[], None]]]) -> Any:
+    """What ``make`` gives, or gave before for the same name, plan and files of ``source``.
 
-    The name says what is made of ``source``, parameters included. With ``sharded`` the rows can
-    be chosen by ``pick_rows``. Where files of the source have changed, the stale table is
-    removed and made anew; a source that is not deterministic is never found again.
+    ``make`` returns its result and how to remove it. The name says what is made of ``source``,
+    parameters included. Where files of the source have changed, the stale result is removed
+    and made anew; a source that is not deterministic is never found again.
     """
-    spark = source.sparkSession
-    files, mine = files_read(source), spark.sparkContext.applicationId
+    files, mine = files_read(source), source.sparkSession.sparkContext.applicationId
     if source._jdf.queryExecution().analyzed().deterministic():
         known = [e for e in _ENTRIES if (e.application, e.name) == (mine, name)]
         for entry in [e for e in known if e.plan.sameSemantics(source)]:
             if entry.files == files:
-                return entry.table
+                return entry.made
             forget(entry)
-    with stage_scope(spark):
-        made = make() if make else source
-        if sharded:
-            table = store_rows(made, name)
-            remove = lambda: drop_rows(spark, table)
-        else:
+    made, remove = make()
+    _ENTRIES.append(Entry(mine, name, source, files, made, remove))
+    return made
+
+
+def stored_once(
+    source: DataFrame, name: str, make: Callable[[], DataFrame] | None = None, sharded: bool = False
+) -> DataFrame:
+    """What ``make`` gives, ``source`` itself by default, as a table that is stored once.
+
+    With ``sharded`` the rows can be chosen by ``pick_rows``. What ``make`` stages on the way is
+    removed once its result is stored.
+    """
+    spark = source.sparkSession
+
+    def store() -> tuple[DataFrame, Callable[[], None]]:
+        with stage_scope(spark):
+            made = make() if make else source
+            if sharded:
+                table = store_rows(made, name)
+                return table, lambda: drop_rows(spark, table)
             path = owned_folder(spark, name)
             made.write.parquet(path)
-            table = spark.read.schema(made.schema).parquet(path)
-            remove = lambda: remove_folder(spark, path)
-    _ENTRIES.append(Entry(mine, name, source, files, table, remove))
-    return table
+            return spark.read.schema(made.schema).parquet(path), lambda: remove_folder(spark, path)
+
+    return made_once(source, name, store)
 
 
 def forget(entry: Entry) -> None:

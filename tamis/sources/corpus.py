@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tamis.sources.catalogue import stored_once
+
 RAW_COLUMNS = ("id", "title", "content", "contents", "PMID")
 
 # Fixed value: most rows shown in a table.
@@ -30,11 +32,15 @@ def read_corpus(
     """Read one parquet directory or several as one scan.
 
     Spark cannot divide a row group among tasks. A corpus of few files with one row group each
-    can be dealt to ``partitions`` tasks, at the price of one shuffle of its rows.
+    can be dealt into ``partitions`` files, at the price of one shuffle of its rows; that copy is
+    stored once per application and read from then on.
     """
     paths = [path] if isinstance(path, str) else list(path)
     corpus = require_columns(spark.read.parquet(*paths), columns)
-    return corpus.repartition(partitions) if partitions else corpus
+    if not partitions:
+        return corpus
+    columns = corpus.select(*columns)
+    return stored_once(columns, f"dealt-{partitions}", lambda: columns.repartition(partitions))
 
 
 def write_stage(df: DataFrame, path: str) -> None:

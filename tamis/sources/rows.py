@@ -20,7 +20,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.sources.staging import owned_folder, remove_folder
+from tamis.sources.staging import owned_folder, remove_folder, session_setting
 
 SHARD, ROW = "_shard", "_row"
 PLACE = [SHARD, ROW]
@@ -53,13 +53,8 @@ def store_rows(df: DataFrame, name: str) -> DataFrame:
     )
     table, path = f"{name}_{uuid.uuid4().hex}".replace("-", "_"), owned_folder(spark, name)
     # With an open file per bucket, and a task has one, rows are written as they come, unsorted.
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "4")
-    try:
+    with session_setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "4"):
         placed.drop("_place").write.format("parquet").bucketBy(n, SHARD).option("path", path).saveAsTable(table)
-    finally:
-        spark.conf.set(key, before)
     return spark.table(table)
 
 

@@ -58,6 +58,17 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session setting ``key`` for what is run inside; as it was, afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def release(spark: SparkSession, paths: list[str]) -> None:
     """Remove the tables at ``paths`` and the shuffle files of the steps that wrote them.
 
