@@ -17,25 +17,45 @@ SELECT conv_id, count(*) AS n_turns,
 FROM coded GROUP BY conv_id
 """,
     "op6_warc": r"""
-WITH records AS (
-  SELECT page_id, coalesce(html, '') AS html,
+WITH replicas AS (
+  SELECT 1 AS replica, page_id, url, coalesce(html, '') AS html FROM pages
+  UNION ALL
+  SELECT 2, page_id, url, CASE page_id % 97 WHEN 5 THEN '?' || substr(coalesce(html, ''), 2)
+                                            WHEN 23 THEN substr(coalesce(html, ''), 2) ELSE coalesce(html, '') END
+  FROM pages, range(2) t(copy)
+  WHERE copy < CASE page_id % 97 WHEN 11 THEN 0 WHEN 17 THEN 2 ELSE 1 END
+  UNION ALL
+  SELECT 2, page_id + 1000000000, url, coalesce(html, '') FROM pages WHERE page_id % 97 = 29
+), records AS (
+  SELECT replica, page_id,
          'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
          || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10)
          || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
-         || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR)
-         || chr(13) || chr(10) || chr(13) || chr(10)
-         || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
-  FROM pages
+         || 'Content-Length: ' || CAST(strlen(html) AS VARCHAR)
+         || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM replicas
 ), placed AS (
-  SELECT page_id, html, sha256(record) AS record_sha256, strlen(record) AS size,
-         row_number() OVER (ORDER BY page_id NULLS FIRST, sha256(record)) - 1 AS position
+  SELECT replica, page_id, sha256(record) AS record_sha256, strlen(record) AS size,
+         row_number() OVER (PARTITION BY replica ORDER BY page_id NULLS FIRST, sha256(record)) - 1 AS position
   FROM records
 ), offsets AS (
-  SELECT *, CAST(sum(size) OVER (ORDER BY position) AS BIGINT) AS end_offset FROM placed
+  SELECT *, CAST(sum(size) OVER (PARTITION BY replica ORDER BY position) AS BIGINT) AS end_offset,
+         row_number() OVER (PARTITION BY replica, page_id, record_sha256 ORDER BY position) AS copy
+  FROM placed
+), spare AS (
+  SELECT a.*, b.page_id IS NULL AND b.copy IS NULL AS alone
+  FROM offsets a LEFT JOIN offsets b ON a.replica + b.replica = 3 AND a.page_id IS NOT DISTINCT FROM b.page_id
+       AND a.record_sha256 = b.record_sha256 AND a.copy = b.copy
+), turns AS (
+  SELECT *, CASE WHEN alone THEN row_number() OVER (PARTITION BY replica, page_id, alone ORDER BY record_sha256, position) END AS turn
+  FROM spare
+), judged AS (
+  SELECT a.*, CASE WHEN NOT a.alone THEN 'intact' WHEN b.turn IS NOT NULL THEN 'corrupt'
+                   WHEN a.replica = 1 THEN 'missing' ELSE 'extra' END AS state
+  FROM turns a LEFT JOIN turns b ON a.replica + b.replica = 3 AND a.page_id IS NOT DISTINCT FROM b.page_id AND a.turn = b.turn
 )
-SELECT page_id, position, end_offset - size AS start_offset, end_offset, record_sha256,
-       CASE WHEN page_id % 97 = 5 AND html <> '' AND html[1] <> '?' THEN 'corrupt' ELSE 'intact' END AS state
-FROM offsets
+SELECT page_id, position, end_offset - size AS start_offset, end_offset, record_sha256, state
+FROM judged WHERE replica = 1 OR state = 'extra'
 """,
     "op10_decontamination": r"""
 WITH d AS (

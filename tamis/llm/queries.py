@@ -58,12 +58,17 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The archive of all pages against a replica in which every 97th page lost its first character."""
+    """The archive of all pages against a replica that changed, lost, repeated, shortened and gained some."""
     archive = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    hurt = F.when(F.col("page_id") % 97 == 5, F.concat(F.lit("?"), F.substr("html", F.lit(2)))).otherwise(F.col("html"))
-    found = fixity.audit(fixity.warc_records(archive), fixity.warc_records(archive.withColumn("html", hurt)))
+    turn, html = F.pmod("page_id", F.lit(97)), F.coalesce("html", F.lit(""))
+    hurt = F.when(turn == 5, F.concat(F.lit("?"), F.substr(html, F.lit(2)))).when(turn == 23, F.substr(html, F.lit(2)))
+    copies = F.when(turn == 11, 0).when(turn == 17, 2).otherwise(1)
+    replica = archive.withColumn("html", hurt.otherwise(html)).withColumn("n", F.explode(F.array_repeat(F.lit(1), copies)))
+    gained = archive.filter(turn == 29).withColumn("page_id", F.col("page_id") + 1_000_000_000)
+    replica = replica.drop("n").unionByName(gained)
+    found = fixity.audit(fixity.warc_records(archive), fixity.warc_records(replica))
     return found.select(
-        F.col("key").alias("page_id"), F.col("node").alias("position"), F.col("start").alias("start_offset"),
+        F.col("key").alias("page_id"), "position", F.col("start").alias("start_offset"),
         F.col("end").alias("end_offset"), F.col("hash").alias("record_sha256"), "state",
     )
 
