@@ -68,6 +68,7 @@ def write_by_block(answers: DataFrame, table: DataFrame) -> str:
     listed come from a scan that was cut otherwise, and are an error.
     """
     spark, path = answers.sparkSession, owned_folder(answers.sparkSession, "by-block")
+    file_system(path)  # tasks will read there; a store they cannot read should fail now
     answers.repartition("block").write.partitionBy("block").parquet(path)
     listed = stage_table(with_block(table).select("block").distinct(), "blocks")
     listed.withColumn("asked", F.lit(True)).repartition("block").write.partitionBy("block").parquet(f"{path}-asked")

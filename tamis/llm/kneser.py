@@ -274,7 +274,7 @@ def smooth(parted: DataFrame, base) -> tuple[DataFrame, DataFrame, DataFrame, Da
 
 def score(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-    share: float | None = None, fence: float = FENCE,
+    fence: float = FENCE,
 ) -> DataFrame:
     """``(key, row, block, lang, n_tokens, perplexity, threshold, rejected)`` for every row of ``docs``.
 
@@ -282,8 +282,7 @@ def score(
     document is trusted if all its labels say quality 1 and not toxic. Rejected are documents
     whose perplexity is above their language's threshold. Null text is empty and scores as
     average, null language is a language of its own. A language that has no held-out trusted
-    documents has no threshold, and none of its documents is rejected. ``share`` was the share
-    of the corpus from which on a word was known; all words are, and it has no effect.
+    documents has no threshold, and none of its documents is rejected.
     ``row`` is a hash of key and text; repeated rows keep a row each. Other columns are ignored;
     no documents, no rows.
     """

@@ -35,6 +35,9 @@ CACHED_WORDS = 1 << 20
 # Fixed values of the record format's checksum mask.
 MASK_DELTA = 0xA282EAD8
 
+#: Hadoop's names of stores that pyarrow calls otherwise.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
+
 LENGTH, SUM, HEAD, ENTRY = "<Q", "<I", "<BqB", "<qQQ"
 MANIFEST = "part int, seq int, path string, index string, n_records long, n_tokens long, bytes long"
 
@@ -61,10 +64,17 @@ def unframe(data: bytes) -> bytes:
 
 
 def file_system(uri: str):
-    """The file system of ``uri`` and the path in it."""
+    """The file system of ``uri``, which has a scheme, and the path in it.
+
+    Schemes by which Hadoop calls stores that pyarrow knows by another name are translated; one
+    that pyarrow cannot serve is an error. Called at the driver before work starts.
+    """
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    scheme, _, rest = uri.partition(":")
+    if not rest:
+        raise ValueError(f"a path with the scheme of its file system is needed: {uri}")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 class _Memo(dict):

@@ -48,3 +48,13 @@ def test_answers_of_another_cut_are_an_error(spark, docs):
     spark.conf.set(blockwise.CUTS, "3")
     with pytest.raises(RuntimeError, match="cut in another way"):
         blockwise.without_rows(docs, "doc_id", "text", odd)
+
+
+def test_stores_are_found_by_their_scheme():
+    from tamis.llm.records import file_system
+
+    assert file_system("file:///tmp/x")[1] == "/tmp/x" and file_system("file:/tmp/x")[1] == "/tmp/x"
+    assert file_system("s3a://bucket/x?region=eu-west-1")[1] == "bucket/x"
+    for bad in ("/tmp/x", "viewfs://elsewhere/x"):
+        with pytest.raises((ValueError, OSError)):
+            file_system(bad)

@@ -3,7 +3,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tamis.llm import kneser
 from tamis.sources.staging import stage_table
@@ -80,7 +79,7 @@ def test_bad_texts_are_rejected_and_good_ones_kept(spark):
     odd = [(1000, None, "en"), (1001, "", "en"), (1002, "word", "en"), (1003, "und so", "de"), (1004, "no language", None),
            (None, "no key at all", "en"), (1, docs[1][1], "en"), (1005, "x" * 200_000, "en")]
     table, marks = frames(spark, docs + odd, [*labels, (1000, None, None), (None, 1, 0)])
-    rows = kneser.score(table, marks, share=1e-3).collect()
+    rows = kneser.score(table, marks).collect()
     assert len(rows) == len(docs) + len(odd)
     rejected = {r.doc_id for r in rows if r.rejected}
     bad = {k for k, q, _ in labels if q == 0}
@@ -89,7 +88,7 @@ def test_bad_texts_are_rejected_and_good_ones_kept(spark):
     assert not {1000, 1001, 1003, 1004} & rejected
     by_id = {r.doc_id: r for r in rows}
     assert by_id[1000].n_tokens == 0 and by_id[1003].threshold is None
-    kept = kneser.keep_good(table, marks, share=1e-3)
+    kept = kneser.keep_good(table, marks)
     assert kept.columns == table.columns
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in rows} - rejected
 
@@ -105,7 +104,6 @@ def test_without_documents_or_labels(spark):
 def test_shapes():
     words = ["word,", "WORD!!", "Word", "wOrd", "42", "--", "a%%%", "A", "é"]
     assert [kneser.shape_of(w) for w in words] == [0, 1, 2, 3, 4, 6, 6, 2, 0]
-    assert F is not None
 
 
 def test_every_word_keeps_its_identity_at_any_size(spark):
