@@ -34,7 +34,8 @@ def staging_root(spark: SparkSession) -> str:
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` as Spark understands it: one without a scheme lies on the default file system."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return whole.replace("file:/", "file:///", 1) if not whole.startswith("file://") else whole
 
 
 def shared_folder(path: str, master: str) -> str:

@@ -105,3 +105,16 @@ def test_a_cluster_needs_a_shared_folder():
 def test_all_stored_tables_lie_in_the_folder_of_the_application(spark):
     owned = staging.owned_folder(spark, "x")
     assert owned.startswith(f"{staging.staging_root(spark)}/{spark.sparkContext.applicationId}/x-")
+
+
+def test_a_path_without_scheme_lies_on_the_default_file_system(spark):
+    assert staging.qualified(spark, "/shared/run") == "file:///shared/run"
+    assert staging.qualified(spark, "file:///shared/run") == "file:///shared/run"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.viewfs.mounttable.elsewhere.link./shared", "file:///tmp")
+    conf.set("fs.defaultFS", "viewfs://elsewhere/")
+    try:
+        assert staging.qualified(spark, "/shared/run") == "viewfs://elsewhere/shared/run"
+    finally:
+        conf.set("fs.defaultFS", before)
