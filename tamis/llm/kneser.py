@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamis.llm.blockwise import read_block, scanned, with_block, without_rows, write_by_block
-from tamis.sources.staging import stage_table
+from tamis.sources.staging import release, stage_scope, stage_table
 
 #: Every ``FOLDS``-th text, by hash, is held out to set the thresholds, which lie ``FENCE``
 #: interquartile ranges above the upper quartile.
@@ -38,7 +38,7 @@ SHAPE_BITS, START = 7, 7
 
 def shape_of(word: str) -> int:
     """Lower, upper, title, mixed letters, digits, marks only, anything else: 0 to 6."""
-    core = word.rstrip(".,;:!?\"')")
+    core = word if word[-1:].isalnum() else word.rstrip(".,;:!?\"')")
     if core.isalpha():
         if core.islower():
             return 0
@@ -106,32 +106,44 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [words.bigrams(p["lang"].to_pylist(), p["text"].to_pylist())[:3] for p in _portions(batch)]
         if found:
             lang, before, word = np.concatenate(found, axis=1)
-            keys, at, counts = np.unique(pair_keys(before, word), return_index=True, return_counts=True)
-            columns = (lang[at], before[at], word[at], keys, counts)
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["lang", "u", "w", "key", "c"])
+            _, at, counts = np.unique(pair_keys(before, word), return_index=True, return_counts=True)
+            columns = (lang[at], before[at], word[at], counts)
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["lang", "u", "w", "c"])
 
 
-def _asker(of_words: bool):
-    """The distinct words, or bigrams, of each block (a long block asks in several portions)."""
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        key = pair_keys(batch["u"].to_numpy(), batch["w"].to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(key), batch["mass"]], names=["key", "mass"])
+
+
+def _asker(told: str | None):
+    """The distinct words of each block, or its distinct bigrams (a long block asks in several portions).
+
+    Bigrams are asked for once the block was ``told`` about its words, and only where the first
+    is a known context and the second a counted word: no other bigram can have been counted.
+    """
 
     def questions(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for block, found in held.items():
             columns = [pa.array(np.full(found.shape[1], block)), *map(pa.array, found)]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "lang", "key"] if of_words else ["block", "key"])
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "key"] if told else ["block", "lang", "key"])
         held.clear()
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held = Words(), {}
+        words, held, answered, known = Words(), {}, None, None
         for batch in batches:
             for part in _portions(batch):
                 lang, before, word, counts = words.bigrams(part["lang"].to_pylist(), part["text"].to_pylist())
                 owner = np.repeat(part["block"].to_numpy(), counts)
                 for block in np.unique(owner).tolist():
                     own = owner == block
-                    if of_words:
-                        fresh = np.stack((np.tile(lang[own], 2), np.concatenate((before[own], word[own]))))
+                    if told:
+                        if block != answered:
+                            answered, known = block, _Answers(read_block(told, block), None)
+                        fresh = pair_keys(*known.possible(before[own], word[own]))[None]
                     else:
-                        fresh = pair_keys(before[own], word[own])[None]
+                        fresh = np.stack((np.tile(lang[own], 2), np.concatenate((before[own], word[own]))))
                     if block in held:
                         fresh = np.concatenate((held[block], fresh), axis=1)
                     held[block] = fresh[:, np.unique(fresh[-1], return_index=True)[1]]
@@ -142,18 +154,26 @@ def _asker(of_words: bool):
     return ask
 
 
+NONE = {"key": pa.int64(), "mass": pa.float64(), "backoff": pa.float64(), "total": pa.float64(), "context": pa.bool_(), "counted": pa.bool_()}
+
+
 class _Answers:
-    """What a block was told: bigrams, and words as contexts and by themselves."""
-
-    def __init__(self, table: pa.Table | None):
-        table = table if table is not None else pa.table({"word": pa.array([], pa.bool_()), **{c: pa.array([], t) for c, t in (
-            ("key", pa.int64()), ("mass", pa.float64()), ("backoff", pa.float64()), ("total", pa.float64()))}})
-        of_word = table["word"].to_numpy()
-        keys, mass, backoff, total = (table[c].to_numpy() for c in ("key", "mass", "backoff", "total"))
-        self.pairs, at = np.unique(keys[~of_word], return_index=True)
-        self.pair_mass = mass[~of_word][at]
-        self.words, at = np.unique(keys[of_word], return_index=True)
-        self.continuation, self.backoff, self.total = mass[of_word][at], backoff[of_word][at], total[of_word][at]
+    """What a block was told: words as contexts and by themselves, and bigrams."""
+
+    def __init__(self, words: pa.Table | None, pairs: pa.Table | None):
+        none = pa.table({c: pa.array([], t) for c, t in NONE.items()})
+        words, pairs = none if words is None else words, none if pairs is None else pairs
+        self.pairs, at = np.unique(pairs["key"].to_numpy(), return_index=True)
+        self.pair_mass = pairs["mass"].to_numpy()[at]
+        self.words, at = np.unique(words["key"].to_numpy(), return_index=True)
+        self.continuation, self.backoff, self.total, self.context, self.counted = (
+            words[c].to_numpy()[at] for c in ("mass", "backoff", "total", "context", "counted")
+        )
+
+    def possible(self, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bigrams that may have been counted."""
+        both = self.context[self.of_words(before)] & self.counted[self.of_words(word)]
+        return before[both], word[both]
 
     def of_words(self, ids: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.words, ids)
@@ -171,9 +191,9 @@ class _Answers:
         return np.log(p)
 
 
-def _scorer(answers: str):
+def _scorer(of_words: str, of_pairs: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, block, known = Words(), None, _Answers(None)
+        words, block, known = Words(), None, _Answers(None, None)
         for batch in batches:
             total = np.zeros(batch.num_rows)
             numbers = np.zeros(batch.num_rows, np.int64)
@@ -184,7 +204,7 @@ def _scorer(answers: str):
                     continue
                 if blocks[a] != block:
                     block = blocks[a]
-                    known = _Answers(read_block(answers, int(block)))
+                    known = _Answers(read_block(of_words, int(block)), read_block(of_pairs, int(block)))
                 for i in range(a, b, 512):
                     part = batch.slice(i, min(512, b - i))
                     _, before, word, counts = words.bigrams(part["lang"].to_pylist(), part["text"].to_pylist())
@@ -243,7 +263,7 @@ def even_by_shape(types: DataFrame):
 
 
 def smooth(parted: DataFrame, base) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Kneser-Ney tables of bigram counts ``(lang, u, w, key, c)``.
+    """Kneser-Ney tables of bigram counts ``(lang, u, w, c)``.
 
     Returns the discounted count (``mass``) of every bigram, the total and back-off weight of
     every context, the continuation probability of every word, and that of a word never counted, by language
@@ -269,7 +289,7 @@ def smooth(parted: DataFrame, base) -> tuple[DataFrame, DataFrame, DataFrame, Da
     )
     words = stage_table(words, "continuations")
 
-    return cut.select("lang", "u", "w", "key", (F.col("c") - F.col("d")).alias("mass")), contexts, words, unseen
+    return cut.withColumn("mass", F.col("c") - F.col("d")).drop("c", "d"), contexts, words, unseen
 
 
 def score(
@@ -294,39 +314,45 @@ def score(
     )
     blocked = with_block(said)
     asked = blocked.select("block", "lang", "text")
-    words = stage_table(asked.mapInArrow(_asker(True), "block long, lang long, key long"), "asked-words")
-    kinds = words.select("lang", "key", F.col("key").bitwiseAND(F.lit(SHAPE_BITS).cast("long")).alias("shape")).distinct()
-    kinds = stage_table(kinds, "word-types")
-    types = kinds.filter(F.col("shape") < START).groupBy("lang", "shape").agg(F.count(F.lit(1)).alias("n_types"))
-
     good = labels.groupBy(key).agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
     good = stage_table(good.filter("q = 1 and t = 0").select(F.col(key).alias("id")), "trusted")
     if good.count() <= BROADCAST_LABELS:
         good = F.broadcast(good)
-    trusted = said.filter(F.col("fold") > 0).join(good, "id", "left_semi").select("lang", "text")
-    counts = trusted.mapInArrow(_train, "lang long, u long, w long, key long, c long")
-    counts = counts.groupBy("lang", "u", "w", "key").agg(F.sum("c").alias("c"))
-    known, contexts, continuations, unseen = smooth(stage_table(counts, "counts"), even_by_shape(types))
-
-    # a context never seen backs off with weight 1; the start of a text is a context only
-    told = kinds.join(contexts.select(F.col("u").alias("key"), "backoff", "total"), "key", "left")
-    told = told.join(continuations.select(F.col("w").alias("key"), "continuation"), "key", "left")
-    told = told.join(F.broadcast(unseen.withColumnRenamed("continuation", "new")), ["lang", "shape"], "left").select(
-        "key", F.coalesce("continuation", "new", F.lit(1.0)).alias("mass"),
-        F.greatest(F.coalesce("backoff", F.lit(1.0)), F.lit(1e-12)).alias("backoff"),
-        F.coalesce("total", F.lit(1)).cast("double").alias("total"),
-    )
-    told = words.join(stage_table(told, "word-answers"), "key").select("block", F.lit(True).alias("word"), "key", "mass", "backoff", "total")
-    pairs = asked.mapInArrow(_asker(False), "block long, key long").join(known.select("key", "mass"), "key")
-    none = F.lit(None).cast("double")
-    pairs = pairs.select("block", F.lit(False).alias("word"), "key", "mass", none.alias("backoff"), none.alias("total"))
-    answers = write_by_block(told.unionByName(pairs), docs)
+    with stage_scope(spark):
+        trusted = said.filter(F.col("fold") > 0).join(good, "id", "left_semi").select("lang", "text")
+        counts = trusted.mapInArrow(_train, "lang long, u long, w long, c long")
+        counts = stage_table(counts.groupBy("lang", "u", "w").agg(F.sum("c").alias("c")), "counts")
+        release(spark, [])
+        with stage_scope(spark):
+            words = stage_table(asked.mapInArrow(_asker(None), "block long, lang long, key long"), "asked-words")
+            kinds = words.select("lang", "key", F.col("key").bitwiseAND(F.lit(SHAPE_BITS).cast("long")).alias("shape")).distinct()
+            kinds = stage_table(kinds, "word-types")
+            types = kinds.filter(F.col("shape") < START).groupBy("lang", "shape").agg(F.count(F.lit(1)).alias("n_types"))
+            known, contexts, continuations, unseen = smooth(counts, even_by_shape(types))
+            release(spark, [])
+
+            # a context never seen backs off with weight 1; the start of a text is a context only
+            told = kinds.join(contexts.select(F.col("u").alias("key"), "backoff", "total"), "key", "left")
+            told = told.join(continuations.select(F.col("w").alias("key"), "continuation"), "key", "left")
+            told = told.join(F.broadcast(unseen.withColumnRenamed("continuation", "new")), ["lang", "shape"], "left").select(
+                "key", F.coalesce("continuation", "new", F.lit(1.0)).alias("mass"),
+                F.greatest(F.coalesce("backoff", F.lit(1.0)), F.lit(1e-12)).alias("backoff"),
+                F.coalesce("total", F.lit(1)).cast("double").alias("total"),
+                F.col("total").isNotNull().alias("context"), F.col("continuation").isNotNull().alias("counted"),
+            )
+            told = stage_table(told, "word-answers")
+            release(spark, [])
+            of_words = write_by_block(words.join(told, "key").select("block", *NONE), docs)
+        pairs = asked.mapInArrow(_asker(of_words), "block long, key long")
+        pairs = pairs.join(known.select("u", "w", "mass").mapInArrow(_keyed, "key long, mass double"), "key")
+        of_pairs = write_by_block(pairs.select("block", "key", "mass"), docs)
 
     columns = f"id {kind}, row long, lang string, fold long, block long"
     scored = blocked.select("id", "row", "lang", "text", "fold", "block").mapInArrow(
-        _scorer(answers), f"{columns}, n_tokens long, surprise double"
+        _scorer(of_words, of_pairs), f"{columns}, n_tokens long, surprise double"
     )
     scored = stage_table(scored, "scored")
+    release(spark, [path + part for path in (of_words, of_pairs) for part in ("", "-asked")])
     held = scored.filter("fold = 0").join(good, "id", "left_semi")
     mean = F.broadcast(held.groupBy("lang").agg((F.sum("surprise") / F.sum("n_tokens")).alias("mean")))
     mixed = (F.col("surprise") + PRIOR * F.col("mean")) / (F.col("n_tokens") + PRIOR)
