@@ -147,11 +147,12 @@ class Extender:
         left = self.reach(at, distance, at, True)
         whole = left + right + distance
         long = whole >= np.maximum(LEAST, POWER * distance)
-        found = np.unique(np.stack((distance, at - left, at + right + distance))[:, long], axis=1)
+        found = np.stack((distance, at - left, at + right + distance))[:, long]
+        found, first = np.unique(found, axis=1, return_index=True)
         out = set()
-        for d, begin, end in found.T.tolist():
+        for (d, begin, end), block in zip(found.T.tolist(), at[long][first].tolist(), strict=True):
             if not (self.words[begin : end - d] == self.words[begin + d : end]).all():
-                begin, end = self.exactly(begin, d)
+                begin, end = self.exactly(block, d)
             if end - begin >= max(LEAST, POWER * d):
                 out.add((d, begin, end))
         return sorted(out)
@@ -264,8 +265,8 @@ def find_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     documents give no rows. Other columns are ignored.
 
     Narrow: texts stay in the task that reads them, a portion of about a million characters
-    at a time or one longer text. Cutting short texts never changes with the portions, as
-    documents are kept apart by numbers that occur once.
+    at a time or one longer text. The result does not depend on the portions, as documents
+    are kept apart by numbers that occur once.
     """
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

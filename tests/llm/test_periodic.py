@@ -79,6 +79,14 @@ def test_a_wrong_seed_is_refused():
     assert extender.exactly(3, 8) == (0, 24)
 
 
+def test_a_collision_of_prefix_sums_is_noticed(monkeypatch):
+    """With sums that call everything equal, the words themselves still decide."""
+    monkeypatch.setattr(periodic.Extender, "equal", lambda self, at, length, distance: np.ones(len(at), bool))
+    words = [*"abcdefgh" * 4, "x", *"ij" * 20, "y", *"abcdefgh"]
+    found = next(iter(periodic.document_runs([" ".join(words).encode()])))[1]
+    assert found == brute_force(words) == [(0, 32, 8), (33, 40, 2)]
+
+
 def test_one_word_many_times_costs_one_extension(monkeypatch):
     asked = []
     stretches = periodic.Extender.stretches
