@@ -15,8 +15,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.sources.rows import drop_rows, store_rows
-from tamis.sources.staging import owned_folder, remove_folder, stage_scope
+from tamis.sources.rows import drop_rows, folder_of, store_rows
+from tamis.sources.staging import folder_exists, owned_folder, remove_folder, stage_scope
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,7 @@ class Entry:
     plan: DataFrame
     files: tuple
     made: Any
+    folder: str
     remove: Callable[[], None]
 
 
@@ -42,22 +43,24 @@ def files_read(df: DataFrame) -> tuple:
     return tuple(listed.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(mark)).first())
 
 
-def made_once(source: DataFrame, name: str, make: Callable[[], tuple[Any, Callable[[], None]]]) -> Any:
+def made_once(source: DataFrame, name: str, make: Callable[[], tuple[Any, str, Callable[[], None]]]) -> Any:
     """What ``make`` gives, or gave before for the same name, plan and files of ``source``.
 
-    ``make`` returns its result and how to remove it. The name says what is made of ``source``,
-    parameters included. Where files of the source have changed, the stale result is removed
-    and made anew; a source that is not deterministic is never found again.
+    ``make`` returns its result, the folder it lies in and how to remove it. The name says what
+    is made of ``source``, parameters included. Where files of the source have changed, or the
+    folder is gone, what is left is removed and made anew; a source that is not deterministic is
+    never found again.
     """
-    files, mine = files_read(source), source.sparkSession.sparkContext.applicationId
+    spark = source.sparkSession
+    files, mine = files_read(source), spark.sparkContext.applicationId
     if source._jdf.queryExecution().analyzed().deterministic():
         known = [e for e in _ENTRIES if (e.application, e.name) == (mine, name)]
         for entry in [e for e in known if e.plan.sameSemantics(source)]:
-            if entry.files == files:
+            if entry.files == files and folder_exists(spark, entry.folder):
                 return entry.made
             forget(entry)
-    made, remove = make()
-    _ENTRIES.append(Entry(mine, name, source, files, made, remove))
+    made, folder, remove = make()
+    _ENTRIES.append(Entry(mine, name, source, files, made, folder, remove))
     return made
 
 
@@ -71,15 +74,15 @@ def stored_once(
     """
     spark = source.sparkSession
 
-    def store() -> tuple[DataFrame, Callable[[], None]]:
+    def store() -> tuple[DataFrame, str, Callable[[], None]]:
         with stage_scope(spark):
             made = make() if make else source
             if sharded:
                 table = store_rows(made, name)
-                return table, lambda: drop_rows(spark, table)
+                return table, folder_of(table), lambda: drop_rows(spark, table)
             path = owned_folder(spark, name)
             made.write.parquet(path)
-            return spark.read.schema(made.schema).parquet(path), lambda: remove_folder(spark, path)
+            return spark.read.schema(made.schema).parquet(path), path, lambda: remove_folder(spark, path)
 
     return made_once(source, name, store)
 

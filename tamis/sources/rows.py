@@ -58,11 +58,19 @@ def store_rows(df: DataFrame, name: str) -> DataFrame:
     return spark.table(table)
 
 
+def _known_table(stored: DataFrame):
+    return stored._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get()
+
+
+def folder_of(stored: DataFrame) -> str:
+    """Where a table that ``store_rows`` made lies."""
+    return _known_table(stored).location().toString()
+
+
 def drop_rows(spark: SparkSession, stored: DataFrame) -> None:
     """Remove a table that ``store_rows`` made, and its files."""
-    table = stored._jdf.queryExecution().analyzed().collectLeaves().head().catalogTable().get()
-    path = table.location().toString()
-    spark.sql(f"DROP TABLE {table.identifier().quotedString()}")
+    path = folder_of(stored)
+    spark.sql(f"DROP TABLE {_known_table(stored).identifier().quotedString()}")
     remove_folder(spark, path)
 
 

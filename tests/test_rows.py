@@ -83,6 +83,17 @@ def test_changed_files_are_read_again(spark, tmp_path):
     assert not any(Path(f.removeprefix("file:").replace("///", "/")).exists() for f in before)
 
 
+@pytest.mark.parametrize("sharded", [False, True])
+def test_a_lost_folder_is_made_again(spark, tmp_path, sharded):
+    path = str(tmp_path / "in")
+    spark.range(10).write.parquet(path)
+    get = lambda: catalogue.stored_once(source(spark, path), "lost", sharded=sharded)
+    first = get()
+    staging.remove_folder(spark, str(Path(first.inputFiles()[0]).parent))
+    second = get()
+    assert second is not first and second.count() == 10 and get() is second
+
+
 def test_random_results_are_not_found_again(spark):
     df = spark.range(5).withColumn("r", F.rand())
     assert catalogue.stored_once(df, "random") is not catalogue.stored_once(df, "random")
