@@ -319,33 +319,36 @@ def score(
     if good.count() <= BROADCAST_LABELS:
         good = F.broadcast(good)
     with stage_scope(spark):
-        trusted = said.filter(F.col("fold") > 0).join(good, "id", "left_semi").select("lang", "text")
-        counts = trusted.mapInArrow(_train, "lang long, u long, w long, c long")
-        counts = stage_table(counts.groupBy("lang", "u", "w").agg(F.sum("c").alias("c")), "counts")
-        release(spark, [])
-        with stage_scope(spark):
-            words = stage_table(asked.mapInArrow(_asker(None), "block long, lang long, key long"), "asked-words")
-            kinds = words.select("lang", "key", F.col("key").bitwiseAND(F.lit(SHAPE_BITS).cast("long")).alias("shape")).distinct()
-            kinds = stage_table(kinds, "word-types")
-            types = kinds.filter(F.col("shape") < START).groupBy("lang", "shape").agg(F.count(F.lit(1)).alias("n_types"))
-            known, contexts, continuations, unseen = smooth(counts, even_by_shape(types))
-            release(spark, [])
-
-            # a context never seen backs off with weight 1; the start of a text is a context only
-            told = kinds.join(contexts.select(F.col("u").alias("key"), "backoff", "total"), "key", "left")
-            told = told.join(continuations.select(F.col("w").alias("key"), "continuation"), "key", "left")
-            told = told.join(F.broadcast(unseen.withColumnRenamed("continuation", "new")), ["lang", "shape"], "left").select(
-                "key", F.coalesce("continuation", "new", F.lit(1.0)).alias("mass"),
-                F.greatest(F.coalesce("backoff", F.lit(1.0)), F.lit(1e-12)).alias("backoff"),
-                F.coalesce("total", F.lit(1)).cast("double").alias("total"),
-                F.col("total").isNotNull().alias("context"), F.col("continuation").isNotNull().alias("counted"),
-            )
-            told = stage_table(told, "word-answers")
-            release(spark, [])
-            of_words = write_by_block(words.join(told, "key").select("block", *NONE), docs)
-        pairs = asked.mapInArrow(_asker(of_words), "block long, key long")
-        pairs = pairs.join(known.select("u", "w", "mass").mapInArrow(_keyed, "key long, mass double"), "key")
-        of_pairs = write_by_block(pairs.select("block", "key", "mass"), docs)
+        with stage_scope(spark) as joining:
+            with stage_scope(spark) as model:
+                trusted = said.filter(F.col("fold") > 0).join(good, "id", "left_semi").select("lang", "text")
+                counts = trusted.mapInArrow(_train, "lang long, u long, w long, c long")
+                counts = stage_table(counts.groupBy("lang", "u", "w").agg(F.sum("c").alias("c")), "counts")
+                release(spark, [])
+                with stage_scope(spark):
+                    words = stage_table(asked.mapInArrow(_asker(None), "block long, lang long, key long"), "asked-words")
+                    kinds = words.select("lang", "key", F.col("key").bitwiseAND(F.lit(SHAPE_BITS).cast("long")).alias("shape")).distinct()
+                    kinds = stage_table(kinds, "word-types")
+                    types = kinds.filter(F.col("shape") < START).groupBy("lang", "shape").agg(F.count(F.lit(1)).alias("n_types"))
+                    known, contexts, continuations, unseen = smooth(counts, even_by_shape(types))
+                    release(spark, [])
+
+                    # a context never seen backs off with weight 1; the start of a text is a context only
+                    told = kinds.join(contexts.select(F.col("u").alias("key"), "backoff", "total"), "key", "left")
+                    told = told.join(continuations.select(F.col("w").alias("key"), "continuation"), "key", "left")
+                    told = told.join(F.broadcast(unseen.withColumnRenamed("continuation", "new")), ["lang", "shape"], "left").select(
+                        "key", F.coalesce("continuation", "new", F.lit(1.0)).alias("mass"),
+                        F.greatest(F.coalesce("backoff", F.lit(1.0)), F.lit(1e-12)).alias("backoff"),
+                        F.coalesce("total", F.lit(1)).cast("double").alias("total"),
+                        F.col("total").isNotNull().alias("context"), F.col("continuation").isNotNull().alias("counted"),
+                    )
+                    told = stage_table(told, "word-answers")
+                    release(spark, [])
+                    of_words = write_by_block(words.join(told, "key").select("block", *NONE), docs)
+                keyed = model.keep(known.select("u", "w", "mass").mapInArrow(_keyed, "key long, mass double"), "bigrams")
+            pairs = asked.mapInArrow(_asker(of_words), "block long, key long").join(keyed, "key")
+            pairs = joining.keep(pairs.select("block", "key", "mass"), "bigram-answers")
+        of_pairs = write_by_block(pairs, docs)
 
     columns = f"id {kind}, row long, lang string, fold long, block long"
     scored = blocked.select("id", "row", "lang", "text", "fold", "block").mapInArrow(
