@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-from tamis.operators import reports
+from tamis.operators import chat, reports
 from tamis.plans import stages
 from tamis.sources import corpus, staging, testtables
 
@@ -102,6 +102,30 @@ def test_a_cluster_needs_a_shared_folder():
     assert staging.shared_folder("file:///tmp/run", "local[4]") == "file:///tmp/run"
 
 
+def test_a_mount_of_all_machines_is_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")
+    turns = spark.createDataFrame([(1, 1, "user", "x")], "conv_id long, turn long, role string, text string")
+    rendered = chat.chat_render(turns, add_generation_prompt=True).collect()
+    assert [r.segment for r in rendered] == ["<|user|>\nx</s>\n<|assistant|>\n"]
+
+
+def test_a_folder_whose_files_are_not_seen_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")
+    monkeypatch.setattr(staging, "reaches_executors", lambda spark, path: False)
+    with pytest.raises(RuntimeError, match="one machine"):
+        staging.staging_root(spark)
+
+
+def test_a_cluster_without_the_setting_uses_the_warehouse(spark, monkeypatch):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    set_to = {"spark.sql.warehouse.dir": warehouse}
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: set_to.get(key, default))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: None)
+    monkeypatch.setattr(staging, "reaches_executors", lambda spark, path: True)
+    assert staging.staging_root(spark) == staging.qualified(spark, f"{warehouse}/tamis-staging")
+
+
 def test_all_stored_tables_lie_in_the_folder_of_the_application(spark):
     owned = staging.owned_folder(spark, "x")
     assert owned.startswith(f"{staging.staging_root(spark)}/{spark.sparkContext.applicationId}/x-")
