@@ -103,7 +103,8 @@ def hashing_tf(records: DataFrame, buckets: int = TERM_BUCKETS) -> DataFrame:
     """Spark ML's hashed term frequencies, as column ``features``."""
     from pyspark.ml.feature import HashingTF
 
-    words = records.withColumn("words", tokenize(F.col("main_text"))).filter("words IS NOT NULL")
+    # Filtered by the text: a filter on the tokens would make them, and clean the text for each mention, again.
+    words = records.filter("main_text IS NOT NULL").withColumn("words", tokenize(F.col("main_text")))
     return HashingTF(inputCol="words", outputCol="features", numFeatures=buckets).transform(words)
 
 
@@ -123,21 +124,21 @@ def minhash_ml(records: DataFrame, seed: int = 42, tables: int = HASH_TABLES) ->
     """Signatures of Spark ML's ``MinHashLSH``: ``id`` and one column per table.
 
     The seed is always given, because the default one changes from one Python
-    process to the next. Documents without tokens, which ``MinHashLSH``
-    rejects, get NULL signatures.
+    process to the next. Documents without tokens, which ``MinHashLSH`` rejects, are signed in the
+    same pass with a stand-in and get NULL signatures. Signatures depend on which buckets are in
+    use, not on how often, so every token is hashed once a document.
     """
-    from pyspark.ml.feature import MinHashLSH
+    from pyspark.ml.feature import HashingTF, MinHashLSH
 
-    features = hashing_tf(records).filter(F.size("words") > 0).select("id", "features")
+    words = records.filter("main_text IS NOT NULL").select("id", tokenize(F.col("main_text")).alias("words"))
+    known = F.size("words") > 0
+    distinct = F.when(known, F.array_distinct("words")).otherwise(F.array(F.lit("")))
+    words = words.select("id", known.alias("_known"), distinct.alias("words"))
+    features = HashingTF(inputCol="words", outputCol="features", numFeatures=TERM_BUCKETS).transform(words)
     lsh = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=tables, seed=seed)
     hashed = lsh.fit(features).transform(features)
-    first = [
-        F.unwrap_udt(F.element_at("hashes", i + 1))["values"][0].cast("bigint").alias(f"m{i}")
-        for i in range(tables)
-    ]
-    signed = hashed.select("id", *first)
-    empty = records.filter(F.size(tokenize(F.col("main_text"))) == 0).select("id")
-    return signed.unionByName(empty, allowMissingColumns=True)
+    minimum = lambda i: F.unwrap_udt(F.element_at("hashes", i + 1))["values"][0].cast("bigint")
+    return hashed.select("id", *(F.when(F.col("_known"), minimum(i)).alias(f"m{i}") for i in range(tables)))
 
 
 def dedupe_signature_ml(records: DataFrame, seed: int = 42) -> DataFrame:

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamis.functions import minhash
-from tamis.operators import dedupe
+from tamis.operators import clean, dedupe
+from tamis.sources import testtables
 
 RECORDS = "id string, title string, PMID string, main_text string"
 ROWS = [
@@ -60,6 +61,21 @@ def test_spark_ml_signatures(spark):
     assert sorted(r.id for r in dedupe.dedupe_signature_ml(df).collect()) == ["10", "5", "7", "8", "9"]
 
 
+@pytest.mark.parametrize("operator", [dedupe.hashing_tf, dedupe.minhash_ml, dedupe.dedupe_signature_ml])
+def test_spark_ml_splits_a_text_once(spark, operator):
+    """Cleaned for the test for null and for the tokens, not for every mention of either."""
+    docs = spark.range(5).select(F.col("id").alias("doc_id"), F.repeat(F.col("id").cast("string"), 60).alias("text"))
+    cleaned = clean.clean_stage(testtables.documents_as_raw(docs))
+    plan = operator(cleaned)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(r"\s{2,}") <= 2 and plan.count("split(lower(") == 1
+
+
+def test_a_null_text_has_no_spark_ml_signature(spark):
+    rows = [("1", None, None, None), ("1", None, None, None), (None, None, None, "\n"), (None, None, None, "a b a")]
+    got = dedupe.minhash_ml(spark.createDataFrame(rows, RECORDS)).collect()
+    assert [r.id for r in got] == [None, None] and sorted(r.m0 is None for r in got) == [False, True]
+
+
 def test_a_third_of_all_rows_may_be_copies(spark):
     """Map-side aggregation leaves one record per task and signature to be shuffled."""
     copies = spark.range(0, 30000, 1, 8).select(
