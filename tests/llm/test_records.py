@@ -42,6 +42,25 @@ def test_the_index_reads_in_any_order(spark):
     assert got == {i: ids_of(f"text number {i}") for i in range(40)}
 
 
+def test_runs_of_letters_are_one_word():
+    texts = [t or "" for _, t in TEXTS] + ["  a\t\n b ", "Don't stop,stop I'LL ªº 7x", "İstanbul ǅ ŉ", "\x1c\x85 a\xa0b", "a  b" * 99]
+    encoder = records.Encoder(PATH)
+    wanted = [np.array(ids_of(t)[:-1], "<u2").tobytes() for t in texts]
+    assert [encoder.encode(t) for t in texts] == wanted
+    split, encoder.split = encoder.split, lambda run: pytest.fail(f"{run} is cut")
+    assert encoder.encode("unheardof") == np.array(ids_of("unheardof")[:-1], "<u2").tobytes()
+    encoder.split = split
+
+
+def test_frequent_keys_outlive_rare_ones():
+    made = []
+    memo = records._Memo(lambda key: made.append(key) or key.encode(), 8)
+    for i in range(100):
+        assert memo["often"] == b"often" and memo[f"rare{i}"] == f"rare{i}".encode()
+        assert len(memo) + len(memo.older) <= 8
+    assert made.count("often") == 1
+
+
 def test_damage_is_noticed():
     whole = records.frame(b"payload")
     assert records.unframe(whole) == b"payload"
