@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 
+import __spark_entry__ as entry
 from tamis.operators import chat, reports
 from tamis.plans import stages
 from tamis.sources import corpus, staging, testtables
@@ -109,6 +110,17 @@ def test_a_mount_of_all_machines_is_a_shared_folder(spark, monkeypatch):
     assert [r.segment for r in rendered] == ["<|user|>\nx</s>\n<|assistant|>\n"]
 
 
+NAMED = """chat_render cluster_summary corpus_stats cluster_survivors dedupe_clusters dedupe_impact dedupe_removed
+doc_lengths dedupe_signature length_metrics final_dataset many_directories near_dup_pairs prompt_render reduction_rate
+report_file sft_dropped sft_format sft_split sft_text side_by_side stage_flow""".split()
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_queries_that_stage_tables_run_on_a_cluster(spark, monkeypatch, name):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")
+    assert not entry.queries()[name](spark, SF).isEmpty()
+
+
 def test_a_folder_whose_files_are_not_seen_is_refused(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "master", "spark://head:7077")
     monkeypatch.setattr(staging, "reaches_executors", lambda spark, path: False)
