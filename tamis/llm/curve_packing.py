@@ -106,8 +106,8 @@ def _encoded(tokenizer: str, end_id: int):
 
         for batch in batches:
             done, size, held = 0, 0, []
-            for i, text in enumerate(batch["text"]):
-                held.append(encoder.encode(text.as_py() or "") + end)
+            for i, ids in enumerate(encoder.encode_all(batch["text"])):
+                held.append(ids + end)
                 size += len(held[-1]) // encoder.width
                 if size >= PORTION or len(held) == GROUP or i + 1 == batch.num_rows:
                     where = points(held)

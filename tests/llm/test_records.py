@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -52,6 +53,20 @@ def test_runs_of_letters_are_one_word():
     encoder.split = split
 
 
+@pytest.mark.parametrize("chars", [1, 1 << 22])
+def test_texts_are_encoded_together(monkeypatch, chars):
+    odd = ["  a\t\n b ", "stop,stop I'LL'S don'tx''s !'s", "ªº 7x¼²34", "İstanbul ǅ ŉ Ⱥb Ⱦ Ÿ", "\x1c\x85 a\xa0b", " ", "\n\n", "***\nx%%%"]
+    texts = [t for _, t in TEXTS] + odd * 2
+    monkeypatch.setattr(records, "PORTION_CHARS", chars)
+    encoder, cut = records.Encoder(PATH), []
+    wanted = [np.array(ids_of(t)[:-1], "<u2").tobytes() for t in texts]
+    assert list(encoder.encode_all(pa.array(texts))) == wanted
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
+    find, encoder.cut = encoder.cut, lambda runs: cut.append(runs) or find(runs)
+    assert len(list(encoder.encode_all(pa.array(["two words, two words"] * 50)))) == 50
+    assert chars == 1 or cut == ["two\nwords,\nwords\n"]
+
+
 def test_frequent_keys_outlive_rare_ones():
     made = []
     memo = records._Memo(lambda key: made.append(key) or key.encode(), 8)
