@@ -32,6 +32,8 @@ PRIOR = 30
 #: Labels up to this number of rows are broadcast (16 bytes each); more are joined by shuffle.
 BROADCAST_LABELS = 2_000_000
 HELD_WORDS = 400_000
+#: Blocks ask for their bigrams in so many rounds, so that the questions and answers of one round lie on disk.
+ROUNDS = 4
 #: The low bits of a word id say its shape; START is the shape of the start of a text.
 SHAPE_BITS, START = 7, 7
 
@@ -191,7 +193,7 @@ class _Answers:
         return np.log(p)
 
 
-def _scorer(of_words: str, of_pairs: str):
+def _scorer(of_words: str, of_pairs: list[str]):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, block, known = Words(), None, _Answers(None, None)
         for batch in batches:
@@ -204,7 +206,8 @@ def _scorer(of_words: str, of_pairs: str):
                     continue
                 if blocks[a] != block:
                     block = blocks[a]
-                    known = _Answers(read_block(of_words, int(block)), read_block(of_pairs, int(block)))
+                    pairs = read_block(of_pairs[int(block) % len(of_pairs)], int(block))
+                    known = _Answers(read_block(of_words, int(block)), pairs)
                 for i in range(a, b, 512):
                     part = batch.slice(i, min(512, b - i))
                     _, before, word, counts = words.bigrams(part["lang"].to_pylist(), part["text"].to_pylist())
@@ -319,7 +322,7 @@ def score(
     if good.count() <= BROADCAST_LABELS:
         good = F.broadcast(good)
     with stage_scope(spark):
-        with stage_scope(spark) as joining:
+        with stage_scope(spark):
             with stage_scope(spark) as model:
                 trusted = said.filter(F.col("fold") > 0).join(good, "id", "left_semi").select("lang", "text")
                 counts = trusted.mapInArrow(_train, "lang long, u long, w long, c long")
@@ -346,16 +349,21 @@ def score(
                     release(spark, [])
                     of_words = write_by_block(words.join(told, "key").select("block", *NONE), docs)
                 keyed = model.keep(known.select("u", "w", "mass").mapInArrow(_keyed, "key long, mass double"), "bigrams")
-            pairs = asked.mapInArrow(_asker(of_words), "block long, key long").join(keyed, "key")
-            pairs = joining.keep(pairs.select("block", "key", "mass"), "bigram-answers")
-        of_pairs = write_by_block(pairs, docs)
+            of_pairs = []
+            for turn in range(ROUNDS):
+                with stage_scope(spark):
+                    mine = asked.filter(F.pmod("block", F.lit(ROUNDS)) == turn)
+                    pairs = mine.mapInArrow(_asker(of_words), "block long, key long").join(keyed, "key")
+                    pairs = stage_table(pairs.select("block", "key", "mass"), "bigram-answers")
+                    release(spark, [])
+                    of_pairs.append(write_by_block(pairs, docs))
 
     columns = f"id {kind}, row long, lang string, fold long, block long"
     scored = blocked.select("id", "row", "lang", "text", "fold", "block").mapInArrow(
         _scorer(of_words, of_pairs), f"{columns}, n_tokens long, surprise double"
     )
     scored = stage_table(scored, "scored")
-    release(spark, [path + part for path in (of_words, of_pairs) for part in ("", "-asked")])
+    release(spark, [path + part for path in (of_words, *of_pairs) for part in ("", "-asked")])
     held = scored.filter("fold = 0").join(good, "id", "left_semi")
     mean = F.broadcast(held.groupBy("lang").agg((F.sum("surprise") / F.sum("n_tokens")).alias("mean")))
     mixed = (F.col("surprise") + PRIOR * F.col("mean")) / (F.col("n_tokens") + PRIOR)

@@ -101,6 +101,30 @@ def test_without_documents_or_labels(spark):
     assert kneser.score(empty, marks).isEmpty()
 
 
+def test_blocks_ask_in_rounds(spark, monkeypatch):
+    """A round stores the answers of its own blocks only; their number changes no result."""
+    docs, labels = corpus(120)
+    source = spark.createDataFrame([(*d, 1, "r", "b") for d in docs], SCHEMA).repartition(12)
+    table, stored = stage_table(source, "docs"), []
+    marks = spark.createDataFrame([(*x, "zz") for x in labels], LABELS)
+    store = kneser.write_by_block
+
+    def counted(answers, docs):
+        if "backoff" not in answers.columns:
+            stored.append({r.block for r in answers.select("block").distinct().collect()})
+        return store(answers, docs)
+
+    monkeypatch.setattr(kneser, "write_by_block", counted)
+    found = [sorted(map(tuple, kneser.score(table, marks).drop("block").collect()))]
+    assert len(stored) == kneser.ROUNDS and len(set.union(*stored)) == sum(map(len, stored))
+    assert max(map(len, stored)) < len(set.union(*stored))
+    monkeypatch.setattr(kneser, "ROUNDS", 1)
+    found.append(sorted(map(tuple, kneser.score(table, marks).drop("block").collect())))
+    assert len(found[0]) == 120
+    for a, b in zip(*found, strict=True):
+        assert a[:4] == b[:4] and a[4:6] == pytest.approx(b[4:6]) and a[6] == b[6]
+
+
 def test_shapes():
     words = ["word,", "WORD!!", "Word", "wOrd", "42", "--", "a%%%", "A", "é"]
     assert [kneser.shape_of(w) for w in words] == [0, 1, 2, 3, 4, 6, 6, 2, 0]
