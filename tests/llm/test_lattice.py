@@ -1,9 +1,10 @@
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tamis.llm import lattice
-from tamis.sources.staging import stage_table
+from tamis.sources.staging import stage_scope, stage_table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, block string, ids int"
@@ -70,3 +71,32 @@ def test_words_are_cut_where_no_piece_crosses(pieces):
         words = cut.words(text or "")
         assert "".join("▁" if w is None else w.replace("▁", " ") for w in words)[1 if text else 0 :] == (text or "")
     assert len(pieces[1]) == 256
+
+
+def test_a_block_asks_for_a_word_once(monkeypatch):
+    monkeypatch.setattr(lattice, "HELD_WORDS", 3)
+    texts = ["a b c d", "b c d e", None, "a e x-y " + "z" * 200, "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 1, 1, 2]), pa.array(texts)], names=["block", "text"])
+    asked = [(r["block"], r["word"]) for part in lattice._asker(iter([batch, batch.slice(4)])) for r in part.to_pylist()]
+    assert sorted(asked) == [*((1, w) for w in ("-", "y", "▁a", "▁b", "▁c", "▁d", "▁e", "▁x")), (2, "▁d")]
+
+
+def test_words_of_most_blocks_are_common(spark):
+    rows = [(b, w) for b in range(4) for w in ("all", f"own{b}")] + [(0, "two"), (1, "two"), (0, "three"), (1, "three"), (2, "three")]
+    with stage_scope(spark), stage_scope(spark) as scope:
+        words = lattice.asked_words(scope, spark.createDataFrame(rows, "block long, word string"))
+        got = {r.word: r.blocks and sorted(r.blocks) for r in words.collect()}
+    assert got == {"all": None, "three": None, "two": [0, 1], **{f"own{b}": [b] for b in range(4)}}
+
+
+def test_a_word_that_went_unasked_is_folded(pieces):
+    told = lattice.Assembler(*pieces)
+    path = told.fold("▁unasked")
+    told.learn(pa.table({"word": ["▁unasked"], "ids": pa.array([path], pa.list_(pa.int32()))}))
+    assert lattice.Assembler(*pieces).encode("unasked").tolist() == told.encode("unasked").tolist() == path
+
+
+def test_texts_without_words(spark):
+    docs = stage_table(spark.createDataFrame([(1, None, "b", 1), (2, "", "b", 1), (3, "\n▁", "b", 1)], SCHEMA).coalesce(1), "docs")
+    got = {r.doc_id: (r.n_pieces, r.exact) for r in lattice.encode(docs, MODEL).collect()}
+    assert got[1] == got[2] == (0, True) and got[3][1]
