@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.blockwise import read_block, scanned, with_block, without_rows, write_by_block
+from tamis.llm.blockwise import read_block, scanned, trim_memory, with_block, without_rows, write_by_block
 from tamis.sources.staging import release, stage_scope, stage_table
 
 #: Every ``FOLDS``-th text, by hash, is held out to set the thresholds, which lie ``FENCE``
@@ -111,6 +111,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, at, counts = np.unique(pair_keys(before, word), return_index=True, return_counts=True)
             columns = (lang[at], before[at], word[at], counts)
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["lang", "u", "w", "c"])
+    words.ids.clear()
+    trim_memory()
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +144,9 @@ def _asker(told: str | None):
                     own = owner == block
                     if told:
                         if block != answered:
-                            answered, known = block, _Answers(read_block(told, block), None)
+                            answered, known = block, None  # one block's answers at a time
+                            known = _Answers(read_block(told, block), None)
+                            trim_memory()
                         fresh = pair_keys(*known.possible(before[own], word[own]))[None]
                     else:
                         fresh = np.stack((np.tile(lang[own], 2), np.concatenate((before[own], word[own]))))
@@ -152,6 +156,9 @@ def _asker(told: str | None):
             if len(held) > 1 or sum(x.shape[1] for x in held.values()) > 4 * HELD_WORDS:
                 yield from questions(held)
         yield from questions(held)
+        words.ids.clear()
+        known = None
+        trim_memory()
 
     return ask
 
@@ -205,9 +212,9 @@ def _scorer(of_words: str, of_pairs: list[str]):
                 if a == b:
                     continue
                 if blocks[a] != block:
-                    block = blocks[a]
-                    pairs = read_block(of_pairs[int(block) % len(of_pairs)], int(block))
-                    known = _Answers(read_block(of_words, int(block)), pairs)
+                    block, known = blocks[a], None
+                    known = _Answers(read_block(of_words, int(block)), read_block(of_pairs[int(block) % len(of_pairs)], int(block)))
+                    trim_memory()
                 for i in range(a, b, 512):
                     part = batch.slice(i, min(512, b - i))
                     _, before, word, counts = words.bigrams(part["lang"].to_pylist(), part["text"].to_pylist())
@@ -219,6 +226,9 @@ def _scorer(of_words: str, of_pairs: list[str]):
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in kept), pa.array(numbers), pa.array(total)], names=[*kept, "n_tokens", "surprise"]
             )
+        words.ids.clear()
+        known = None
+        trim_memory()
 
     return score
 

@@ -2,6 +2,7 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tamis.llm import kneser
@@ -125,6 +126,16 @@ def test_blocks_ask_in_rounds(spark, monkeypatch):
         assert a[:4] == b[:4] and a[4:6] == pytest.approx(b[4:6]) and a[6] == b[6]
 
 
+def test_workers_hand_memory_back(monkeypatch):
+    trimmed = []
+    monkeypatch.setattr(kneser, "trim_memory", lambda: trimmed.append(1))
+    batch = pa.RecordBatch.from_pydict({"block": [1], "lang": ["en"], "text": ["a b a b"]})
+    (counts,) = kneser._train(iter([batch]))
+    assert sorted(counts["c"].to_pylist()) == [1, 1, 2] and len(trimmed) == 1
+    (asked,) = kneser._asker(None)(iter([batch]))
+    assert asked.num_rows == 3 and len(trimmed) == 2  # two words and the start
+
+
 def test_shapes():
     words = ["word,", "WORD!!", "Word", "wOrd", "42", "--", "a%%%", "A", "é"]
     assert [kneser.shape_of(w) for w in words] == [0, 1, 2, 3, 4, 6, 6, 2, 0]
