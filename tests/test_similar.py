@@ -209,3 +209,28 @@ def test_components_of_random_graphs(spark, seed):
 
 def test_components_of_nothing(spark):
     assert clusters.connected_components(spark.createDataFrame([], "a string, b string")).isEmpty()
+
+
+def test_pairs_below_unlike_leaders_are_linked(spark):
+    """Two similar texts whose bands are all led by texts that are like neither are one cluster."""
+    rng = random.Random(0)
+    docs = []
+    for name, n in [*((f"{i:04d}", 18) for i in range(100)), ("x1", 5), ("x2", 5)]:
+        words = [f"t{k}" for k in range(200)]
+        for k in rng.sample(range(200), n):
+            words[k] = f"own-{name}-{k}"
+        docs.append((name, words))
+    wanted = brute_force(docs, 0.1 + similar.EPSILON)
+    assert list(wanted) == [("x1", "x2")] and leader_pairs(docs) == {}
+    got = dict(clusters.dedupe_clusters(spark.createDataFrame(docs, SCHEMA)).collect())
+    assert got["x2"] == "x1" and got == dict(components(docs, wanted))
+
+
+def test_groups_of_one_root_are_not_compared(spark):
+    """On a template corpus few pairs are left for the links between the groups that leaders made."""
+    docs = [d for i, d in enumerate(on_one_template(random.Random(3), 800)) if i % 2]
+    sets = similar.token_sets(spark.createDataFrame(docs, SCHEMA)).sets
+    keyed = similar.part_keys(sets)
+    roots = sets.select("rep", F.lit("00000").alias("root"))
+    assert similar.candidates(keyed, roots).isEmpty()
+    assert similar.candidates(keyed).count() == 400 * 399 // 2
