@@ -224,6 +224,9 @@ def test_pairs_below_unlike_leaders_are_linked(spark):
     assert list(wanted) == [("x1", "x2")] and leader_pairs(docs) == {}
     got = dict(clusters.dedupe_clusters(spark.createDataFrame(docs, SCHEMA)).collect())
     assert got["x2"] == "x1" and got == dict(components(docs, wanted))
+    df = spark.createDataFrame(docs, SCHEMA)
+    kept = clusters.keep_cluster_heads(df, clusters.dedupe_clusters(df))
+    assert sorted(r.id for r in kept.collect()) == sorted({*got} - {"x2"})
 
 
 def test_groups_of_one_root_are_not_compared(spark):
