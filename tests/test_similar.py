@@ -211,6 +211,39 @@ def test_components_of_nothing(spark):
     assert clusters.connected_components(spark.createDataFrame([], "a string, b string")).isEmpty()
 
 
+def on_templates(rng, n_groups=6):
+    """Groups on shared templates whose members differ by about as many words as the distance allows."""
+    docs = []
+    for g in range(n_groups):
+        base = [f"t{g}-{k}" for k in range(rng.choice((9, 10, 11, 19, 20, 40, 101)))]
+        for i in range(14):
+            words = list(base)
+            for k in rng.sample(range(len(base)), rng.randint(0, max(1, len(base) // 10))):
+                if rng.random() < 0.5:
+                    words[k] = f"own{g}-{i}-{k % 3}"
+                else:
+                    words.append(f"more{g}-{k % 4}")
+            docs.append((f"{rng.randrange(10**6):06d}-{g}-{i}", words))
+    return docs
+
+
+@pytest.mark.parametrize(
+    ("docs", "max_distance"),
+    [
+        (corpus(5, n_groups=40), 0.1), (corpus(21, n_groups=20), 0.3), (corpus(22, n_groups=15), 0.0),
+        (on_templates(random.Random(1)), 0.1), (on_templates(random.Random(2)), 0.2),
+        (on_one_template(random.Random(3), 60), 0.1), (unlike_on_boilerplate(random.Random(3), 60), 0.1),
+    ],
+)
+def test_every_pair_and_no_other_is_listed(spark, docs, max_distance):
+    found = similar.all_pairs(spark.createDataFrame(docs, SCHEMA), max_distance).collect()
+    wanted = brute_force(docs, max_distance + similar.EPSILON)
+    assert {(r.id_a, r.id_b): r.distance for r in found} == wanted
+    assert len(found) == len(wanted)
+    got = dict(clusters.dedupe_clusters(spark.createDataFrame(docs, SCHEMA), max_distance).collect())
+    assert got == dict(components(docs, wanted))
+
+
 def test_pairs_below_unlike_leaders_are_linked(spark):
     """Two similar texts whose bands are all led by texts that are like neither are one cluster."""
     rng = random.Random(0)
@@ -229,6 +262,13 @@ def test_pairs_below_unlike_leaders_are_linked(spark):
     assert sorted(r.id for r in kept.collect()) == sorted({*got} - {"x2"})
 
 
+def test_a_text_without_an_id_hides_no_pair(spark):
+    words = [f"w{k}" for k in range(30)]
+    docs = [(None, words), ("a", words), ("b", [*words, "more"]), ("c", ["x"])]
+    found = similar.all_pairs(spark.createDataFrame(docs, SCHEMA)).collect()
+    assert [(r.id_a, r.id_b) for r in found] == [("a", "b")]
+
+
 def test_groups_of_one_root_are_not_compared(spark):
     """On a template corpus few pairs are left for the links between the groups that leaders made."""
     docs = [d for i, d in enumerate(on_one_template(random.Random(3), 800)) if i % 2]
