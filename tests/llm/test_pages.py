@@ -97,3 +97,33 @@ def test_long_markup_takes_linear_time():
 
 def test_no_pages(spark):
     assert pages.main_text(spark.createDataFrame([], SCHEMA)).isEmpty()
+
+
+def test_suffixes_of_marked_pages_are_compared(spark):
+    """On a host whose pages all mark their article, what its pages repeat is found, and articles keep it."""
+    import random
+
+    draw = random.Random(6)
+    texts = [" ".join(draw.choice("ab") for _ in range(60)) for _ in range(12)]
+    rows = [(i, f"http://h{i % 2}/", f"<nav>menu {i}</nav><article><p>{text}</article>", "t", 0) for i, text in enumerate(texts)]
+    rows += [(20, "http://h0/", f"<article>{story(0, 30)}</article>", "t", 0), (21, "http://h0/", None, "t", 0)]
+    rows += [(30 + i, "http://h0/", f"<article>{story(5, 30)}</article><p>other {i}", "t", 0) for i in range(4)]  # one page
+    wanted = {20: 0, 21: 0} | {30 + i: 0 for i in range(4)}
+    for i, text in enumerate(texts):
+        words, covered = text.split(), set()
+        for at in range(len(words) - pages.DEPTH + 1):
+            run = " ".join(words[at : at + pages.DEPTH])
+            if sum(f" {run} " in f" {other} " for other in texts[i % 2 :: 2]) >= pages.MIN_PAGES:
+                covered |= set(range(at, at + pages.DEPTH))
+        wanted[i] = len(covered)
+    got = pages.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.page_id: r.n_repeated for r in got} == wanted and sum(wanted.values()) > 0
+    assert {r.page_id: r.text for r in got if r.page_id < 12} == dict(enumerate(texts))
+
+
+def test_what_menus_repeat_counts_for_marked_pages(spark):
+    quote = story(7, 10)
+    rows = [(i, "http://h/", f"<nav>{quote} {i}</nav><article>{story(i, 20)}</article>", "t", 0) for i in range(2)]
+    rows += [(2, "http://h/", f"<article>{quote}<p>{story(2, 20)}</article>", "t", 0)]
+    got = {r.page_id: (r.n_repeated, r.text) for r in pages.main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: (0, story(0, 20)), 1: (0, story(1, 20)), 2: (10, f"{quote}\n{story(2, 20)}")}
